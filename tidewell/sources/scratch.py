@@ -1,0 +1,26 @@
+"""Where a job may put intermediate tables."""
+
+import tempfile
+import uuid
+from functools import cache
+
+from pyspark.sql import SparkSession
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidewell-")
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new directory name under the shared folder of ``spark.checkpoint.dir``.
+
+    Only a local master may go without that setting: there all tasks see this machine's folder.
+    Directories are grouped by application, so a finished application's can be dropped.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_root()
+    return f"{root.rstrip('/')}/tidewell/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
