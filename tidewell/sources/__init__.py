@@ -1,8 +1,8 @@
 from tidewell.sources.batches import batch_location, load_staging, read_batch, read_batches, read_table_or_none
-from tidewell.sources.envelopes import read_envelopes, read_landed, stream_landed
-from tidewell.sources.scratch import scratch_dir
+from tidewell.sources.envelopes import read_envelopes, read_landed
+from tidewell.sources.scratch import scratch_dir, stored
 
 __all__ = [
     "batch_location", "load_staging", "read_batch", "read_batches", "read_envelopes", "read_landed",
-    "read_table_or_none", "scratch_dir", "stream_landed",
+    "read_table_or_none", "scratch_dir", "stored",
 ]

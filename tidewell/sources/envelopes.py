@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.registry import Category
 from tidewell.schemas import CORRUPT, envelope_schema
-from tidewell.sources.batches import BATCH_COLUMN, read_batches, with_batch_column
+from tidewell.sources.batches import read_batches
 
 
 def _options(multi_line: bool) -> dict[str, str]:
@@ -19,8 +19,9 @@ def read_envelopes(spark: SparkSession, path: str, cat: Category, multi_line: bo
     """Documents under ``path`` with an explicit schema: no inference pass, and the columns do
     not depend on what one week's data happens to hold.
 
-    ``multi_line`` reads indented documents, one per file. Such a file is read by a single task;
-    land one document per line where you can choose.
+    A document that does not parse keeps its text in ``_corrupt_record``; take such rows out with
+    ``corrupt_documents``. ``multi_line`` reads indented documents, one per file. Such a file is
+    read by a single task; land one document per line where you can choose.
     """
     schema = envelope_schema(cat.record, cat.envelope_field)
     return spark.read.schema(schema).options(**_options(multi_line)).json(path)
@@ -31,8 +32,3 @@ def read_landed(spark: SparkSession, root: str, cat: Category, first=None, last=
     schema = envelope_schema(cat.record, cat.envelope_field)
     return read_batches(spark, root, schema, first, last, file_type="json", **_options(multi_line))
 
-
-def stream_landed(spark: SparkSession, root: str, cat: Category) -> DataFrame:
-    """The same as a stream of newly landed files, with the directory value ``batch_date``."""
-    schema = with_batch_column(envelope_schema(cat.record, cat.envelope_field))
-    return spark.readStream.schema(schema).options(**_options(False)).json(f"{root.rstrip('/')}/{BATCH_COLUMN}=*")
