@@ -23,9 +23,10 @@ def row_key(name: str = "text") -> Column:
     return F.xxhash64(text_or_empty(name))
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Join condition on ``names`` where NULL equals NULL."""
+def join_same(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``names`` where NULL equals NULL; the right side's ``names`` are dropped."""
+    other = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
     condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+    for n in names:
+        condition = condition & F.col(n).eqNullSafe(F.col(f"_right_{n}"))
+    return left.join(other, condition, how).drop(*[f"_right_{n}" for n in names])
