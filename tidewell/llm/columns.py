@@ -30,3 +30,9 @@ def join_same(left: DataFrame, right: DataFrame, names: list[str], how: str = "i
     for n in names:
         condition = condition & F.col(n).eqNullSafe(F.col(f"_right_{n}"))
     return left.join(other, condition, how).drop(*[f"_right_{n}" for n in names])
+
+
+def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A never-NULL name of a document, by doc_id and text: rows equal in both are one document."""
+    number = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
+    return F.concat(number, F.lit(":"), row_key(text).cast("string"))

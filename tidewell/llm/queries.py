@@ -5,6 +5,7 @@ import importlib
 # Query name -> module. A module has a function of the query's name, and ORACLE where SQL can say it.
 MODULES = {
     "op1_license_scan": "license_scan",
+    "op10_simhash_near_dedup": "simhash_dedup",
     "op4_quality_rules": "quality_rules",
     "op9_chat_formatting": "chat_format",
 }
