@@ -7,6 +7,7 @@ MODULES = {
     "op1_license_scan": "license_scan",
     "op10_simhash_near_dedup": "simhash_dedup",
     "op6_line_dedup": "line_dedup",
+    "op2_token_counts": "token_counts",
     "op4_quality_rules": "quality_rules",
     "op9_chat_formatting": "chat_format",
 }
