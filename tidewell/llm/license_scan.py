@@ -68,7 +68,7 @@ def template_words(text: str) -> list[str]:
 def lowered(text: Column) -> Column:
     """A-Z in lower case. The two other letters that ``lower`` would turn into ASCII are first
     put out of its reach by letters of their kind, so no word is made or lost."""
-    for letter, stand_in in (("K", "ĸ"), ("İ", "ı")):
+    for letter, stand_in in (("\u212a", "\u0138"), ("\u0130", "\u0131")):
         text = F.replace(text, F.lit(letter), F.lit(stand_in))
     return F.lower(text)
 

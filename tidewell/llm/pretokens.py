@@ -11,7 +11,7 @@ import unicodedata
 from functools import cache
 
 # Fixed value: Unicode white space.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _ranges(points: list[int]) -> str:

@@ -9,6 +9,7 @@ MODULES = {
     "op6_line_dedup": "line_dedup",
     "op2_token_counts": "token_counts",
     "op4_quality_rules": "quality_rules",
+    "op8_bpe_round_trip": "bpe",
     "op9_chat_formatting": "chat_format",
 }
 
