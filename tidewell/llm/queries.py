@@ -8,6 +8,7 @@ MODULES = {
     "op10_simhash_near_dedup": "simhash_dedup",
     "op6_line_dedup": "line_dedup",
     "op2_token_counts": "token_counts",
+    "op3_language_id": "language_id",
     "op4_quality_rules": "quality_rules",
     "op8_bpe_round_trip": "bpe",
     "op9_chat_formatting": "chat_format",
