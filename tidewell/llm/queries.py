@@ -6,6 +6,7 @@ import importlib
 MODULES = {
     "op1_license_scan": "license_scan",
     "op10_simhash_near_dedup": "simhash_dedup",
+    "op5_quality_classifier": "quality_classifier",
     "op6_line_dedup": "line_dedup",
     "op2_token_counts": "token_counts",
     "op3_language_id": "language_id",
