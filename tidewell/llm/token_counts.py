@@ -17,8 +17,9 @@ empty table gives no row and appends nothing; other columns are ignored.
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -26,12 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.columns import text_or_empty
-from tidewell.llm.pretokens import pattern
-from tidewell.sources.scratch import scratch_dir
+from tidewell.llm.pretokens import chunk_text, cut
+from tidewell.sources.scratch import scratch_dir, stored
 
 CACHE = "digest string, tokenizer string, n_tokens long"
-#: Words a task remembers before it starts anew.
-MAX_WORDS = 400_000
+#: Words a task remembers; past it, the older half of what it knows is let go.
+MAX_WORDS = 1_200_000
 
 
 class WordCounts:
@@ -45,22 +46,48 @@ class WordCounts:
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.words: dict[str, int] = {}
+        #: Counts of words, and of chunks as their words follow a blank.
+        self.words, self.chunks = Memory(), Memory()
+
+    def _learn(self, known: "Memory", wanted: set[str], text_of: Callable[[str], str]) -> None:
+        missing = known.recall(wanted)
+        codes = self.tokenizer.encode_batch(list(map(text_of, missing)), add_special_tokens=False)
+        known.update(zip(missing, map(len, codes)))
 
     def counts(self, texts: list[str]) -> list[int]:
-        cut = pattern().findall
-        rows, extra = [], []
+        rows = []
         for text in texts:
             parts = self.special.split(text) if self.special else [text]
-            extra.append(len(parts) - 1)
-            rows.append(cut(text) if len(parts) == 1 else [w for p in parts for w in cut(p)])
-        if len(self.words) > MAX_WORDS:
-            self.words.clear()
-        known = self.words
-        missing = list({w for row in rows for w in row if w not in known})
-        for word, code in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-            known[word] = len(code)
-        return [sum(map(known.__getitem__, row)) + n for row, n in zip(rows, extra)]
+            rows += [(cut(part), len(parts) - 1 if k == 0 else 0, k == 0) for k, part in enumerate(parts)]
+        self._learn(self.words, set(chain.from_iterable(words for (words, _), _, _ in rows)), str)
+        self._learn(self.chunks, set(chain.from_iterable(chunks for (_, chunks), _, _ in rows)), chunk_text)
+        word, chunk, found = self.words.__getitem__, self.chunks.__getitem__, []
+        for (words, chunks), special, first in rows:
+            n = sum(map(word, words)) + sum(map(chunk, chunks)) + special
+            if first:
+                found.append(n)
+            else:
+                found[-1] += n
+        return found
+
+
+class Memory(dict):
+    """What is known by string. When full, it keeps the newer half and forgets the rest when that is full again."""
+
+    older: dict = {}
+
+    def recall(self, wanted: set[str]) -> list[str]:
+        """Make ready what is known of ``wanted``, and return what is not."""
+        if len(self) > MAX_WORDS // 2:
+            self.older = dict(self)
+            self.clear()
+        missing = []
+        for key in wanted - self.keys():
+            if key in self.older:
+                self[key] = self.older[key]
+            else:
+                missing.append(key)
+        return missing
 
 
 @cache
@@ -95,7 +122,7 @@ def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.take(pa.array(new, pa.int64()))
 
 
-def _encoder(path: str, slice_chars: int = 4_000_000):
+def _encoder(path: str, slice_chars: int = 1_000_000):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _word_counts(path)
         for batch in _first_of_each(batches):
@@ -124,9 +151,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str) -> DataF
     encoded = missing.mapInArrow(_encoder(tokenizer_path), "digest string, n_tokens long")
     encoded.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
 
-    # A digest stored twice (two runs at once) has the same count both times.
+    # A digest stored twice (two runs at once) has the same count both times. Stored, the counts are a plain side of the
+    # join, of which Spark can split what a hot digest meets.
     counts = read_cache(spark, cache_path).where(F.col("tokenizer") == version)
-    counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = stored(counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")
     sizes = rows.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     return sizes.join(counts, "digest")
 
