@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.pretokens import SPACE, pattern
 
 #: Words a task remembers; past it, the older half of what it knows is let go.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 2_400_000
 #: Longer words are encoded window by window and not remembered.
 LONG_WORD = 96
 #: Characters cut into words at a time.
