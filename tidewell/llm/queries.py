@@ -11,6 +11,7 @@ MODULES = {
     "op2_token_counts": "token_counts",
     "op3_language_id": "language_id",
     "op4_quality_rules": "quality_rules",
+    "op7_benchmark_decontamination": "decontamination",
     "op8_bpe_round_trip": "bpe",
     "op9_chat_formatting": "chat_format",
 }

@@ -60,19 +60,24 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 
 
 def pieces(texts: list[str | None], size: int = PIECE) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Texts as bytes in groups of about ``size``: the row each part belongs to, and the parts."""
+    """Texts as bytes in groups of about ``size``, in order: the row each part belongs to, and the parts. A longer text has
+    groups of its own, cut after a line end where there is one."""
     rows: list[int] = []
     parts: list[bytes] = []
     held = 0
     for row, text in enumerate(texts):
         data = (text or "").encode("utf-8", "surrogatepass")
-        while len(data) > size:
-            cut = data.rfind(b" ", size // 2, size) + 1 or data.find(b" ", size) + 1 or len(data)
-            yield [row], [data[:cut]]
-            data = data[cut:]
-        if held + len(data) > size and rows:
+        if rows and held + len(data) > size:
             yield rows, parts
             rows, parts, held = [], [], 0
+        if len(data) > size:
+            while len(data) > size:
+                cut = data.rfind(b"\n", size // 2, size) + 1 or data.rfind(b" ", size // 2, size) + 1
+                cut = cut or data.find(b" ", size) + 1 or len(data)
+                yield [row], [data[:cut]]
+                data = data[cut:]
+            yield [row], [data]
+            continue
         rows.append(row)
         parts.append(data)
         held += len(data)
