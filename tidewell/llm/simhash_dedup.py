@@ -96,6 +96,11 @@ def erased_variants(fp: Column, max_bits: int, blocks: int) -> Column:
     return F.concat(*parts)
 
 
+def _dealt(fingerprints: DataFrame) -> DataFrame:
+    """Fingerprints over all shuffle partitions: few bytes as they are, they become hundreds of variants each."""
+    return fingerprints.repartition(int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
 def neighbours(distinct: DataFrame, max_bits: int, blocks: int) -> DataFrame:
     """Fingerprints that meet another one at some variant of step 1."""
     met = distinct.select("fp", F.explode(erased_variants(F.col("fp"), max_bits, blocks)).alias("variant"))
@@ -120,21 +125,34 @@ def links(active: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, blocks: int = 4) -> DataFrame:
-    """doc_id, key, fp and component_id, the smallest doc_id reachable over links."""
+    """doc_id, key, fp, root (a fingerprint that names the component) and component_id, the smallest doc_id reachable
+    over links."""
     if max_bits < 1:
         raise ValueError("max_bits must be 1 or more")
     prints = stored(fingerprints(docs, shingle), "simhash-prints")
     # Copies meet here, combined before the shuffle; from now on a fingerprint is one row.
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    active = stored(neighbours(distinct.select("fp"), max_bits, blocks), "simhash-active")
-    roots = connected_components(links(active, max_bits))
+    active = stored(neighbours(_dealt(distinct.select("fp")), max_bits, blocks), "simhash-active")
+    roots = connected_components(links(_dealt(active), max_bits))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     # Only components of several fingerprints need their common id looked up.
-    named = rooted.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "key", "fp", "component_id")
+    named = rooted.select("fp", "root").join(ids, "root")
+    return prints.join(named, "fp").select("doc_id", "key", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest doc_id, NULL last."""
+    found = near_duplicates(docs, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("first")
+    keepers = found.groupBy("root").agg(first).select(F.col("first.key").alias("_keeper"))
+    keyed = docs.withColumn("_document", document_key())
+    kept = keyed.join(keepers, F.col("_document") == F.col("_keeper"), "left_semi")
+    # Repeated rows of the document that stays are rows of one key; one of them stays.
+    alike = Window.partitionBy("_document").orderBy("_document")
+    return kept.withColumn("_row", F.row_number().over(alike)).where("_row = 1").select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
