@@ -51,7 +51,7 @@ class WordCounts:
 
     def _learn(self, known: "Memory", wanted: set[str], text_of: Callable[[str], str]) -> None:
         missing = known.recall(wanted)
-        codes = self.tokenizer.encode_batch(list(map(text_of, missing)), add_special_tokens=False)
+        codes = self.tokenizer.encode_batch_fast(list(map(text_of, missing)), add_special_tokens=False)
         known.update(zip(missing, map(len, codes)))
 
     def counts(self, texts: list[str]) -> list[int]:
