@@ -240,10 +240,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (doc_id unless given), ``ids`` and ``decoded``, the text the ids give back. The file must be at
-    the same path on every executor."""
-    kept = docs.select(*(keep or ["doc_id"])).schema
+def _fields(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def encode_documents(docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``ids`` and ``n_tokens``. The tokenizer's file must be at the same path on every executor."""
+    kept = docs.select(*keep).schema
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_path)
@@ -251,15 +254,28 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep: list[str] | Non
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 ids = [coder.encode(t or "") for t in part["_text"].to_pylist()]
-                texts = ["".join(decode(coder.merges, i)) for i in ids]
-                columns = {n: part[n] for n in kept.fieldNames()}
-                yield pa.record_batch(columns | {
-                    "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string()),
+                yield pa.record_batch({n: part[n] for n in kept.fieldNames()} | {
+                    "ids": pa.array(ids, pa.list_(pa.int32())), "n_tokens": pa.array(map(len, ids), pa.int64()),
                 })
 
-    rows = docs.select(*kept.fieldNames(), F.col("text").cast("string").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields)
-    return rows.mapInArrow(of_batches, f"{fields}, ids array<int>, decoded string")
+    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    return rows.mapInArrow(of_batches, f"{_fields(kept)}, ids array<int>, n_tokens long")
+
+
+def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``encoded`` with ``decoded``, the text its ``ids`` give back."""
+    schema = encoded.schema
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merges = encoder(tokenizer_path).merges
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = ["".join(decode(merges, ids or [])) for ids in part["ids"].to_pylist()]
+                columns = {n: part[n] for n in schema.fieldNames()}
+                yield pa.record_batch(columns | {"decoded": pa.array(texts, pa.string())})
+
+    return encoded.mapInArrow(of_batches, f"{_fields(schema)}, decoded string")
 
 
 def op8_bpe_round_trip(spark, sf_dir: str) -> DataFrame:
