@@ -1,4 +1,4 @@
-"""Batch file names and paths as column expressions."""
+"""Batch file names and paths as column expressions. The layouts of names and directories."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ def batch_file(
     return F.concat(batch_stem(data_cat, batch_dt, start_dt, end_dt), F.lit("."), F.lower(extension))
 
 
-def batch_dir(batch_dt: Column, bucket: Column, directory: Column, scheme: str = "gs://") -> Column:
+def batch_dir(batch_dt: Column, bucket: Column, directory: Column, scheme: str) -> Column:
     """``<scheme><bucket>/<directory>/batch_date=YYYYMMDD/``."""
     return F.concat(
         F.lit(scheme), bucket, F.lit("/"), directory, F.lit("/batch_date="),
@@ -29,6 +29,6 @@ def batch_dir(batch_dt: Column, bucket: Column, directory: Column, scheme: str =
 
 
 def batch_path(
-    batch_dt: Column, bucket: Column, directory: Column, file_name: Column, scheme: str = "gs://"
+    batch_dt: Column, bucket: Column, directory: Column, file_name: Column, scheme: str
 ) -> Column:
     return F.concat(batch_dir(batch_dt, bucket, directory, scheme), file_name)

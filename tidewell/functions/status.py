@@ -1,4 +1,4 @@
-"""Status code to label."""
+"""Status code to label. The three label words."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F

@@ -1,34 +1,43 @@
 """Keyed upsert of a batch into a partitioned parquet table.
 
 A matched target row takes all columns of its staging row, an unmatched staging row is inserted,
-an unmatched target row stays. NULL key parts never match. A key may occur once in staging.
+an unmatched target row stays. A key may occur once in staging. A row with a NULL key part can match
+nothing and would be inserted again by every merge, so such rows are split off before the merge.
 
 On plain parquet there is no snapshot: a reader running while the job commits can see some
-partitions before and some after the merge, and two writers must not merge at once.
+partitions before and some after the merge, two writers must not merge at once, and a driver lost during the
+commit can leave a touched partition removed and not yet replaced: merge the batch again from its silver files
+onto a restored copy. A lost executor only repeats its tasks.
 """
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.registry import Category
-from tidewell.sinks import replace_partitions
-from tidewell.sources import read_table_or_none
-
-# Up to this many partition values are listed in the plan, where they prune files statically.
-MAX_LISTED_PARTITIONS = 1000
-
-
-class DuplicateStagingKeys(ValueError):
-    """More than one staging row matches the same target row."""
+from tidewell.sinks import replace_partitions, write_rejects
+from tidewell.sources import read_table_or_none, stored
 
 
 @dataclass(frozen=True)
 class MergeResult:
     inserted: int
     updated: int
+    rejected: int
+
+
+def _keyed(keys: Sequence[str]) -> Column:
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    return whole
+
+
+def split_null_keys(staging: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with a whole key, rows with a NULL key part)."""
+    return staging.where(_keyed(keys)), staging.where(~_keyed(keys))
 
 
 def matched(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -41,34 +50,49 @@ def not_matched(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> D
     return staging.join(target.select(*keys), list(keys), "left_anti")
 
 
-def untouched(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows without a staging row. The keys are made distinct first, which costs no
-    further shuffle (the join hashes on them anyway) and keeps a repeated key from piling up."""
-    return target.join(staging.select(*keys).distinct(), list(keys), "left_anti")
+def duplicate_keys(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Staging keys that break the one-row rule, with their number of rows."""
+    whole, _ = split_null_keys(staging, keys)
+    return whole.groupBy(*keys).agg(F.count("*").alias("staging_rows")).where("staging_rows > 1")
+
+
+def joined(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target and staging met once on the key: the merged row's columns, ``_staged`` and ``_existing``.
+
+    A key staged twice fails the job where the row is made, before anything is committed.
+    """
+    rest = [c for c in target.columns if c not in keys]
+    whole, _ = split_null_keys(staging, keys)
+    staged = whole.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.struct(*rest)).alias("_new"))
+    message = F.concat(F.lit("staged more than once: "), F.to_json(F.struct(*keys)))
+    once = staged.select(*keys, F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_new")).alias("_new"))
+    existing = target.select(*keys, F.struct(*rest).alias("_old"))
+    both = existing.join(once, list(keys), "full_outer")
+    row = F.coalesce("_new", "_old")
+    return both.select(
+        *keys, *[row[c].alias(c) for c in rest],
+        F.col("_new").isNotNull().alias("_staged"), F.col("_old").isNotNull().alias("_existing"),
+    )
 
 
 def upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target after the merge. Of the staging side only keys are joined, so Spark can
-    broadcast them when small and leave the target where it is."""
-    return untouched(target, staging, keys).unionByName(staging.select(*target.columns))
+    """The target after the merge."""
+    return joined(target, staging, keys).select(*target.columns)
 
 
-def duplicate_keys(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Staging keys that break the one-row rule: repeated, and present in the target."""
-    repeated = staging.groupBy(*keys).agg(F.count("*").alias("staging_rows")).where("staging_rows > 1")
-    return repeated.join(target.select(*keys), list(keys), "left_semi")
+def _counts() -> list[Column]:
+    staged, existing = F.col("_staged"), F.col("_existing")
+    return [F.count_if(staged & ~existing).alias("inserted"), F.count_if(staged & existing).alias("updated")]
 
 
 def merge_metrics(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: ``inserted`` staging rows, ``updated`` target rows, and ``most_staged``, the
-    largest number of staging rows that meet one target row (more than 1 breaks the rule)."""
-    staged = staging.groupBy(*keys).agg(F.count("*").alias("staged"))
-    existing = target.select(*keys, F.lit(True).alias("exists"))
-    return staged.join(existing, list(keys), "left").agg(
-        F.coalesce(F.sum(F.when(F.col("exists").isNull(), F.col("staged"))), F.lit(0)).alias("inserted"),
-        F.count("exists").alias("updated"),
-        F.coalesce(F.max(F.when(F.col("exists"), F.col("staged"))), F.lit(0)).alias("most_staged"),
+    """One row: ``inserted`` and ``updated`` rows of the merge, and ``rejected`` rows with a NULL key part."""
+    _, rejects = split_null_keys(staging, keys)
+    counts = joined(target, staging, keys).agg(*_counts()).withColumn("rejected", F.lit(0).cast("long"))
+    lost = rejects.agg(
+        F.lit(0).cast("long").alias("inserted"), F.lit(0).cast("long").alias("updated"), F.count("*").alias("rejected")
     )
+    return counts.unionByName(lost).agg(*[F.sum(c).alias(c) for c in ("inserted", "updated", "rejected")])
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
@@ -76,43 +100,23 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], newest_by: Sequence[str
     lowest. A maximum is combined before the shuffle, so a key with very many copies does
     not gather in one task as it would under a window. Rows with a NULL key part are no
     copies of each other and all stay."""
+    if both := set(newest_by) & set(keys):
+        raise ValueError(f"newest_by names key columns: {sorted(both)}")
     rest = [c for c in rows.columns if c not in keys and c not in newest_by]
-    keyed = F.lit(True)
-    for key in keys:
-        keyed = keyed & F.col(key).isNotNull()
+    whole, others = split_null_keys(rows, keys)
     best = (
-        rows.where(keyed)
-        .groupBy(*keys)
+        whole.groupBy(*keys)
         .agg(F.max(F.struct(*newest_by, *rest)).alias("best"))
         .select(*keys, "best.*")
     )
-    return best.select(*rows.columns).unionByName(rows.where(~keyed))
+    return best.select(*rows.columns).unionByName(others)
 
 
-def affected_slice(
-    target: DataFrame, staging: DataFrame, partition: str, max_listed: int = MAX_LISTED_PARTITIONS
-) -> DataFrame:
-    """The target's partitions that staging touches.
-
-    Few partition values become a literal list, which prunes directories at planning time. Beyond
-    ``max_listed`` the staging range prunes instead and a semi join picks the exact partitions.
-    """
-    touched = staging.select(partition).distinct()
-    listed = [row[0] for row in touched.limit(max_listed + 1).collect()]
-    if len(listed) <= max_listed:
-        wanted = F.col(partition).isin([v for v in listed if v is not None])
-        if None in listed:
-            wanted = wanted | F.col(partition).isNull()
-        return target.where(wanted)
-
-    low, high, nulls = staging.agg(
-        F.min(partition), F.max(partition), F.count_if(F.col(partition).isNull())
-    ).first()
-    in_range = F.col(partition).between(F.lit(low), F.lit(high))
-    chosen = target.where(in_range).join(touched, partition, "left_semi")
-    if nulls:
-        chosen = chosen.unionByName(target.where(F.col(partition).isNull()))
-    return chosen.select(*target.columns)
+def affected_slice(target: DataFrame, staging: DataFrame, partition: str) -> DataFrame:
+    """The target's partitions that staging touches, as a literal list that prunes directories at planning time. The list
+    is as long as the directories the merge is about to write, which the planner of the target holds anyway."""
+    touched = [row[0] for row in staging.select(partition).where(F.col(partition).isNotNull()).distinct().collect()]
+    return target.where(F.col(partition).isin(touched))
 
 
 def merge_into_path(
@@ -122,32 +126,31 @@ def merge_into_path(
     cat: Category,
     on_duplicate: str = "error",
     newest_by: Sequence[str] = (),
-    max_listed: int = MAX_LISTED_PARTITIONS,
+    rejects_path: str | None = None,
 ) -> MergeResult:
     """Merge staging into the parquet table at ``path`` and rewrite only touched partitions.
 
-    Staging is read for the partition list, the check and the write, so pass a stored table (the
-    batch's silver files) rather than a long computation. ``on_duplicate`` is ``"error"``, which
-    raises before anything is written, or ``"latest"``, which keeps one row per key.
+    ``on_duplicate`` is ``"error"``, which fails before anything is committed, or ``"latest"``, which keeps one row
+    per key. Rows with a NULL key part are counted and, with ``rejects_path``, appended there.
     """
     keys = list(cat.key)
     if on_duplicate == "latest":
         staging = latest_per_key(staging, keys, newest_by)
     elif on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    staging = staging.select(*cat.columns)
+    # Read for the partition list, the rejects and the write, so computed once.
+    staging = stored(staging.select(*cat.columns), "merge-staging")
+    whole, rejects = split_null_keys(staging, keys)
+    rejected = rejects.count()
+    if rejected and rejects_path:
+        write_rejects(rejects, rejects_path)
 
     target = read_table_or_none(spark, path, cat.output)
     if target is None:
         target = spark.createDataFrame([], cat.output)
-    current = affected_slice(target, staging, cat.partition, max_listed)
-
-    inserted, updated, most_staged = merge_metrics(current, staging, keys).first()
-    if most_staged > 1:
-        raise DuplicateStagingKeys(f"up to {most_staged} staging rows match one target row on {keys}")
-
-    # Dynamic overwrite swaps the touched partitions in at job commit; until then the files being
-    # read stay in place, so a lost executor only repeats its tasks.
-    merged = upsert(current, staging, keys)
+    current = affected_slice(target, whole, cat.partition)
+    written = Observation("merge")
+    merged = joined(current, whole, keys).observe(written, *_counts()).select(*cat.columns)
+    # Dynamic overwrite swaps the touched partitions in at job commit; until then the files being read stay in place.
     replace_partitions(merged, path, [cat.partition], sort_by=[k for k in keys if k != cat.partition])
-    return MergeResult(inserted=inserted, updated=updated)
+    return MergeResult(written.get["inserted"], written.get["updated"], rejected)

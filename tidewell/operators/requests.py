@@ -1,16 +1,10 @@
-"""The record slice a request asks for, and its symbol list."""
+"""The record slice a request asks for, and its symbol lists."""
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: default row limit per requested symbol. The limit is for the whole slice.
-ROWS_PER_SYMBOL = 5
-
-# Longer lists go through a join instead of an IN list in the plan.
-MAX_LISTED_SYMBOLS = 1000
-
 
 def source_slice(
     records: DataFrame,
@@ -18,58 +12,37 @@ def source_slice(
     start_dt,
     end_dt,
     limit: int | None = None,
-    min_rows: int | None = None,
     sort: str = "ASC",
     date: str = "date",
 ) -> DataFrame:
-    """Records of ``symbols`` dated within both bounds, by date, at most ``limit`` of them.
+    """Records of ``symbols`` dated within both bounds, by date, all of them or the first ``limit``.
 
-    ``symbols`` is a list or a one-column DataFrame. Ties on the date are ordered by every
-    other column, so the slice is the same on each run.
+    ``symbols`` is a list, which is filtered on, or a one-column DataFrame, which is joined. ``sort`` is ``ASC`` or
+    ``DESC``. Ties on the date are ordered by every other column, so the slice is the same on each run. On a DATE
+    column both bounds reach the scan; on text they are compared after the cast.
     """
-    spark = records.sparkSession
+    if sort not in ("ASC", "DESC"):
+        raise ValueError(f"sort must be 'ASC' or 'DESC', not {sort!r}")
+    day = F.col(date) if dict(records.dtypes)[date] == "date" else F.col(date).try_cast("date")
+    hits = records.where(day.between(F.lit(start_dt).cast("date"), F.lit(end_dt).cast("date")))
     if isinstance(symbols, DataFrame):
         wanted = symbols.toDF("symbol").where(F.col("symbol").isNotNull()).distinct()
+        hits = hits.join(wanted, "symbol", "left_semi").select(*records.columns)
     else:
-        wanted = sorted(set(symbols))
-        if len(wanted) > MAX_LISTED_SYMBOLS:
-            wanted = spark.createDataFrame([(s,) for s in wanted], "symbol string")
-    if limit is None:
-        limit = min_rows
-    if limit is None:
-        count = wanted.count() if isinstance(wanted, DataFrame) else len(wanted)
-        limit = ROWS_PER_SYMBOL * count
-
-    day = F.col(date).try_cast("date")
-    hits = records.where(day.between(F.lit(start_dt).cast("date"), F.lit(end_dt).cast("date")))
-    if isinstance(wanted, DataFrame):
-        # Spark broadcasts the list when it measures it as small, and otherwise shuffles both
-        # sides, splitting a hot symbol on the record side.
-        hits = hits.join(wanted, "symbol", "left_semi")
-    else:
-        hits = hits.where(F.col("symbol").isin(wanted))
+        hits = hits.where(F.col("symbol").isin(sorted(set(symbols))))
     keys: list[Column] = [day, *(F.col(c) for c in records.columns if c != date), F.col(date)]
-    descending = sort.upper() == "DESC"
-    return hits.orderBy(*[k.desc() if descending else k.asc() for k in keys]).limit(limit)
-
+    ordered = hits.orderBy(*[k.desc() if sort == "DESC" else k.asc() for k in keys])
+    return ordered if limit is None else ordered.limit(limit)
 
-def symbols_param(
-    rows: DataFrame, batch: str, symbol: str = "symbol", symbols_per_request: int = 1000
-) -> DataFrame:
-    """Comma-joined symbol lists per batch, sorted, each symbol once.
 
-    One request string per batch would put all symbols of a batch into one row, so a batch with
-    more than ``symbols_per_request`` symbols is spread over several requests of about that
-    size by a hash of the symbol. A batch within the limit gives the single list.
-    """
+def symbols_param(rows: DataFrame, batch: str, pages: int, symbol: str = "symbol") -> DataFrame:
+    """Comma-joined symbol lists per batch, sorted, each symbol once, spread over ``pages`` requests (``page`` from 0) by
+    a digest of the symbol. Choose ``pages`` by the symbols a batch may have and a request may carry; a page without
+    symbols has no row."""
     pairs = rows.select(batch, symbol).where(F.col(symbol).isNotNull()).distinct()
-    requests = pairs.groupBy(batch).agg(
-        F.ceil(F.count("*") / symbols_per_request).cast("long").alias("requests")
-    )
     # 28 bits of the digest: the same number in any engine.
     digest = F.conv(F.substring(F.md5(F.col(symbol)), 1, 7), 16, 10).cast("long")
-    paged = pairs.join(requests, batch).withColumn("request", digest % F.col("requests"))
-    # The salt of the group is its own key: no group outgrows a request.
-    return paged.groupBy(batch, "request").agg(
+    paged = pairs.withColumn("page", (digest % pages).cast("int"))
+    return paged.groupBy(batch, "page").agg(
         F.array_join(F.array_sort(F.collect_list(symbol)), ",").alias("symbols")
     )

@@ -4,12 +4,14 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    # Runtime re-planning: coalesces small shuffle partitions, splits skewed join and
-    # rebalance partitions, and turns a join into a broadcast only on measured size.
+    # Runtime re-planning: coalesces small shuffle partitions, splits skewed join and rebalance partitions.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # A join is planned as a shuffle and becomes a broadcast only on the measured size of a side.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.ui.enabled": "false",
 }
 
