@@ -1,7 +1,6 @@
-from tidewell.sinks.landing import corrupt_documents, land_envelopes, parsed_documents, write_rejects
+from tidewell.sinks.landing import land_envelopes, split_documents, write_rejects
 from tidewell.sinks.tables import replace_partitions, write_partitioned
 
 __all__ = [
-    "corrupt_documents", "land_envelopes", "parsed_documents", "replace_partitions",
-    "write_partitioned", "write_rejects",
+    "land_envelopes", "replace_partitions", "split_documents", "write_partitioned", "write_rejects",
 ]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.calendar import compact_date
 from tidewell.schemas import CORRUPT
+from tidewell.scratch import stored
 
 
 def land_envelopes(envelopes: DataFrame, root: str, batch: str = "batch_dt", mode: str = "append") -> str:
@@ -16,14 +17,12 @@ def land_envelopes(envelopes: DataFrame, root: str, batch: str = "batch_dt", mod
     return root
 
 
-def corrupt_documents(envelopes: DataFrame) -> DataFrame:
-    """Documents that did not parse, with their text."""
-    return envelopes.where(F.col(CORRUPT).isNotNull())
-
-
-def parsed_documents(envelopes: DataFrame) -> DataFrame:
-    """The other documents. Parsed plus corrupt is the input."""
-    return envelopes.where(F.col(CORRUPT).isNull())
+def split_documents(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents that parsed, documents that did not, with their text). Parsed plus corrupt is the input. Documents are
+    parsed once and stored, so both sides can be read alone: Spark refuses a file query on the corrupt column only."""
+    documents = stored(envelopes, "documents")
+    corrupt = F.col(CORRUPT)
+    return documents.where(corrupt.isNull()).drop(CORRUPT), documents.where(corrupt.isNotNull())
 
 
 def write_rejects(rejects: DataFrame, path: str, mode: str = "append") -> str:

@@ -20,7 +20,7 @@ def read_envelopes(spark: SparkSession, path: str, cat: Category, multi_line: bo
     not depend on what one week's data happens to hold.
 
     A document that does not parse keeps its text in ``_corrupt_record``; take such rows out with
-    ``corrupt_documents``. ``multi_line`` reads indented documents, one per file. Such a file is
+    ``split_documents``. ``multi_line`` reads indented documents, one per file. Such a file is
     read by a single task; land one document per line where you can choose.
     """
     schema = envelope_schema(cat.record, cat.envelope_field)
