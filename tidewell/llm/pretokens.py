@@ -33,23 +33,3 @@ def pattern() -> re.Pattern:
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_{numbers}]+| ?[\d{numbers}]+| ?(?:[^\w{SPACE}]|_)+"
         rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
     )
-
-
-def cut(text: str) -> tuple[list[str], list[str]]:
-    """The words of a text, and the chunks that follow them.
-
-    Where blanks and line ends stand alone, each chunk from one to the next has words of its own, whatever stands around
-    it, so chunks can be looked up whole. A chunk of the second list is preceded by a blank unless it starts with a line end
-    (``chunk_text``). Other texts are all words.
-    """
-    if (
-        "  " in text or "\n\n" in text or " \n" in text or "\n " in text
-        or text[:1].isspace() or text[-1:].isspace()
-    ):
-        return pattern().findall(text), []
-    first, *rest = text.replace("\n", " \n").split(" ")
-    return pattern().findall(first), rest
-
-
-def chunk_text(chunk: str) -> str:
-    return chunk if chunk[0] == "\n" else " " + chunk

@@ -17,7 +17,7 @@ empty table gives no row and appends nothing; other columns are ignored.
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cache
 from itertools import chain
 
@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.columns import text_or_empty
-from tidewell.llm.pretokens import chunk_text, cut
+from tidewell.llm.pretokens import pattern
 from tidewell.sources.scratch import scratch_dir, stored
 
 CACHE = "digest string, tokenizer string, n_tokens long"
 #: Words a task remembers; past it, the older half of what it knows is let go.
-MAX_WORDS = 1_200_000
+MAX_WORDS = 1_500_000
 
 
 class WordCounts:
@@ -46,29 +46,20 @@ class WordCounts:
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        #: Counts of words, and of chunks as their words follow a blank.
-        self.words, self.chunks = Memory(), Memory()
-
-    def _learn(self, known: "Memory", wanted: set[str], text_of: Callable[[str], str]) -> None:
-        missing = known.recall(wanted)
-        codes = self.tokenizer.encode_batch_fast(list(map(text_of, missing)), add_special_tokens=False)
-        known.update(zip(missing, map(len, codes)))
+        self.words = Memory()
 
     def counts(self, texts: list[str]) -> list[int]:
-        rows = []
+        cut = pattern().findall
+        rows, extra = [], []
         for text in texts:
             parts = self.special.split(text) if self.special else [text]
-            rows += [(cut(part), len(parts) - 1 if k == 0 else 0, k == 0) for k, part in enumerate(parts)]
-        self._learn(self.words, set(chain.from_iterable(words for (words, _), _, _ in rows)), str)
-        self._learn(self.chunks, set(chain.from_iterable(chunks for (_, chunks), _, _ in rows)), chunk_text)
-        word, chunk, found = self.words.__getitem__, self.chunks.__getitem__, []
-        for (words, chunks), special, first in rows:
-            n = sum(map(word, words)) + sum(map(chunk, chunks)) + special
-            if first:
-                found.append(n)
-            else:
-                found[-1] += n
-        return found
+            extra.append(len(parts) - 1)
+            rows.append(cut(text) if len(parts) == 1 else [w for part in parts for w in cut(part)])
+        missing = self.words.recall(set(chain.from_iterable(rows)))
+        codes = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        self.words.update(zip(missing, map(len, codes)))
+        look = self.words.__getitem__
+        return [sum(map(look, row)) + n for row, n in zip(rows, extra)]
 
 
 class Memory(dict):
