@@ -21,9 +21,9 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.pretokens import SPACE, pattern
 
 #: Words a task remembers; past it, the older half of what it knows is let go.
-MAX_WORDS = 2_400_000
+MAX_WORDS = 1_200_000
 #: Longer words are encoded window by window and not remembered.
 LONG_WORD = 96
 #: Characters cut into words at a time.
@@ -73,6 +73,8 @@ class Merges:
         for token in spec["added_tokens"]:
             self.special[token["content"]] = token["id"]
             self.bytes[token["id"]] = token["content"].encode()
+        #: How ids are packed.
+        self.code = "H" if size <= 1 << 16 else "I"
         self.lookahead = self._sufficient_lookahead()
 
     def _sufficient_lookahead(self) -> int:
@@ -146,16 +148,16 @@ class Merges:
 
 
 class _Words(dict):
-    """Ids of words, worked out when first asked for. ``older`` is what was known before."""
+    """Ids of words as packed bytes, worked out when first asked for. ``older`` is what was known before."""
 
     def __init__(self, merges: Merges, older: dict):
         self.merges, self.older = merges, older
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         raw = word.encode("utf-8", "surrogatepass")
         if len(raw) > LONG_WORD:
-            return tuple(self.merges.stream(raw))
-        self[word] = ids = self.older.get(word) or tuple(self.merges.merge(raw))
+            return array(self.merges.code, self.merges.stream(raw)).tobytes()
+        self[word] = ids = self.older.get(word) or array(self.merges.code, self.merges.merge(raw)).tobytes()
         return ids
 
 
@@ -183,21 +185,24 @@ class Encoder:
             at = found.end()
         yield text[at:]
 
-    def ids(self, text: str) -> Iterator[tuple[int, ...]]:
-        """Ids of the text in order, a tuple for each word."""
+    def packed(self, text: str) -> Iterator[bytes]:
+        """Ids of the text in order, packed, word by word."""
         if len(self.words) > MAX_WORDS // 2:
             self.words = _Words(self.merges, dict(self.words))
         pieces = self.special.split(text) if self.special else [text]
         cut, look = pattern().findall, self.words.__getitem__
         for k, piece in enumerate(pieces):
             if k % 2:
-                yield (self.merges.special[piece],)
+                yield array(self.merges.code, [self.merges.special[piece]]).tobytes()
             else:
                 for part in self._parts(piece):
-                    yield from map(look, cut(part))
+                    yield b"".join(map(look, cut(part)))
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.ids(text)))
+        ids = array(self.merges.code)
+        for part in self.packed(text):
+            ids.frombytes(part)
+        return ids.tolist()
 
 
 class ByteText:
@@ -244,8 +249,11 @@ def _fields(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``ids`` and ``n_tokens``. The tokenizer's file must be at the same path on every executor."""
+def encode_documents(
+    docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("doc_id",), verify: bool = False
+) -> DataFrame:
+    """``keep`` columns, ``ids`` and ``n_tokens``; with ``verify`` also ``round_trip``, whether decoding the ids where they
+    are made gives the text back. The tokenizer's file must be at the same path on every executor."""
     kept = docs.select(*keep).schema
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,13 +261,19 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [coder.encode(t or "") for t in part["_text"].to_pylist()]
-                yield pa.record_batch({n: part[n] for n in kept.fieldNames()} | {
-                    "ids": pa.array(ids, pa.list_(pa.int32())), "n_tokens": pa.array(map(len, ids), pa.int64()),
-                })
+                texts = [t or "" for t in part["_text"].to_pylist()]
+                ids = [coder.encode(t) for t in texts]
+                columns = {n: part[n] for n in kept.fieldNames()}
+                columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
+                columns["n_tokens"] = pa.array(map(len, ids), pa.int64())
+                if verify:
+                    same = ("".join(decode(coder.merges, i)) == t for i, t in zip(ids, texts))
+                    columns["round_trip"] = pa.array(same, pa.bool_())
+                yield pa.record_batch(columns)
 
     rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    return rows.mapInArrow(of_batches, f"{_fields(kept)}, ids array<int>, n_tokens long")
+    schema = f"{_fields(kept)}, ids array<int>, n_tokens long" + ", round_trip boolean" * verify
+    return rows.mapInArrow(of_batches, schema)
 
 
 def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
