@@ -1,0 +1,106 @@
+from datetime import date
+from pathlib import Path
+
+import pytest
+
+from tidewell.operators import ledger, merge
+from tidewell.registry import DIVIDENDS
+from tidewell.schemas import SILVER
+from tidewell.sinks import write_partitioned
+
+KEYS = list(DIVIDENDS.key)
+
+
+def rows(spark, *found):
+    return spark.createDataFrame([(s, d, r, "Q", None, None, None) for s, d, r in found], SILVER)
+
+
+D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
+
+
+def stored_rows(spark, path):
+    got = spark.read.schema(SILVER).parquet(path).select("symbol", "market_dt", "dividend_ratio").collect()
+    return sorted((tuple(r) for r in got), key=repr)
+
+
+def test_merge_twice_is_merge_once_with_null_keys(spark, tmp_path):
+    path, rejects = str(tmp_path / "t"), str(tmp_path / "rejects")
+    write_partitioned(rows(spark, ("A", D1, 1.0), ("B", D2, 1.0)), path, ["market_dt"], ["symbol"])
+    staging = rows(spark, ("A", D1, 2.0), ("C", D2, 3.0), ("A", None, 4.0), (None, D1, 5.0))
+    first = merge.merge_into_path(spark, path, staging, DIVIDENDS, rejects_path=rejects)
+    once = stored_rows(spark, path)
+    second = merge.merge_into_path(spark, path, staging, DIVIDENDS)
+    assert first == merge.MergeResult(1, 1, 2) and second == merge.MergeResult(0, 2, 2)
+    assert stored_rows(spark, path) == once == [("A", D1, 2.0), ("B", D2, 1.0), ("C", D2, 3.0)]
+    assert spark.read.parquet(rejects).count() == 2
+
+
+def test_untouched_partitions_keep_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitioned(rows(spark, ("A", D1, 1.0), ("B", D2, 1.0)), path, ["market_dt"], ["symbol"])
+    names = lambda d: sorted(p.name for p in Path(path, f"market_dt={d}").glob("*.parquet"))
+    before = names(D1), names(D2)
+    merge.merge_into_path(spark, path, rows(spark, ("C", D2, 1.0), ("D", D3, 1.0)), DIVIDENDS)
+    assert names(D1) == before[0] and names(D2) != before[1] and names(D3)
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_a_key_staged_twice_fails_before_commit(spark, tmp_path, known):
+    path = str(tmp_path / "t")
+    write_partitioned(rows(spark, ("A" if known else "Z", D1, 1.0)), path, ["market_dt"], ["symbol"])
+    before = stored_rows(spark, path)
+    with pytest.raises(Exception, match="staged more than once"):
+        merge.merge_into_path(spark, path, rows(spark, ("A", D1, 2.0), ("A", D1, 3.0)), DIVIDENDS)
+    assert stored_rows(spark, path) == before
+    result = merge.merge_into_path(
+        spark, path, rows(spark, ("A", D1, 2.0), ("A", D1, 3.0)), DIVIDENDS, "latest", ["dividend_ratio"]
+    )
+    assert result.inserted + result.updated == 1 and ("A", D1, 3.0) in stored_rows(spark, path)
+
+
+def test_merge_creates_the_table_and_takes_empty_staging(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert merge.merge_into_path(spark, path, rows(spark, ("A", D1, 1.0)), DIVIDENDS).inserted == 1
+    assert merge.merge_into_path(spark, path, rows(spark), DIVIDENDS) == merge.MergeResult(0, 0, 0)
+    assert stored_rows(spark, path) == [("A", D1, 1.0)]
+
+
+def test_metrics_equal_the_written_difference(spark):
+    target, staging = rows(spark, ("A", D1, 1.0), ("B", D1, 1.0)), rows(spark, ("A", D1, 2.0), ("C", D1, 1.0), (None, D1, 1.0))
+    assert tuple(merge.merge_metrics(target, staging, KEYS).first()) == (1, 1, 1)
+    assert merge.upsert(target, staging, KEYS).count() - target.count() == 1
+
+
+def test_latest_refuses_key_columns(spark):
+    with pytest.raises(ValueError):
+        merge.latest_per_key(rows(spark), KEYS, ["market_dt"])
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    many = spark.range(0, 200_000, 1, 16).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("symbol"), F.lit(D1).alias("market_dt")
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_partitioned(many, str(tmp_path / "t"), ["market_dt"], ["symbol"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert len(list(Path(tmp_path, "t").rglob("*.parquet"))) > 1
+
+
+def test_ledger_enters_a_batch_once(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    batches = spark.createDataFrame(
+        [("dividends", D1, D1, D3), ("dividends", D1, D1, D3), ("dividends", D2, D1, D3)],
+        "data_cat string, batch_dt date, start_dt date, end_dt date",
+    )
+    assert ledger.insert_waiting(spark, path, batches) == 2
+    assert ledger.insert_waiting(spark, path, batches) == 0
+    assert ledger.insert_waiting(spark, path, batches.limit(0)) == 0
+    got = ledger.read_ledger(spark, path)
+    assert got.count() == 2 and {r["load_status"] for r in got.collect()} == {"WAITING"}
+    assert ledger.ledger_lookup(got, "dividends", D2).count() == 1
+    assert ledger.new_batches(batches, got).count() == 0
