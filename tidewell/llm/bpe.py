@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm.columns import extended, fresh
 from tidewell.llm.pretokens import SPACE, pattern
 
 #: Words a task remembers; past it, the older half of what it knows is let go.
@@ -245,23 +246,19 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _fields(schema) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-
 def encode_documents(
     docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("doc_id",), verify: bool = False
 ) -> DataFrame:
     """``keep`` columns, ``ids`` and ``n_tokens``; with ``verify`` also ``round_trip``, whether decoding the ids where they
     are made gives the text back. The tokenizer's file must be at the same path on every executor."""
-    kept = docs.select(*keep).schema
+    kept, (text_name,) = docs.select(*keep).schema, fresh(docs, "_text")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [t or "" for t in part["_text"].to_pylist()]
+                texts = [t or "" for t in part[text_name].to_pylist()]
                 ids = [coder.encode(t) for t in texts]
                 columns = {n: part[n] for n in kept.fieldNames()}
                 columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
@@ -271,9 +268,9 @@ def encode_documents(
                     columns["round_trip"] = pa.array(same, pa.bool_())
                 yield pa.record_batch(columns)
 
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    schema = f"{_fields(kept)}, ids array<int>, n_tokens long" + ", round_trip boolean" * verify
-    return rows.mapInArrow(of_batches, schema)
+    rows = docs.select(*keep, F.col("text").cast("string").alias(text_name))
+    added = "ids array<int>, n_tokens long" + ", round_trip boolean" * verify
+    return rows.mapInArrow(of_batches, extended(kept, added))
 
 
 def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -289,7 +286,7 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
                 columns = {n: part[n] for n in schema.fieldNames()}
                 yield pa.record_batch(columns | {"decoded": pa.array(texts, pa.string())})
 
-    return encoded.mapInArrow(of_batches, f"{_fields(schema)}, decoded string")
+    return encoded.mapInArrow(of_batches, extended(schema, "decoded string"))
 
 
 def op8_bpe_round_trip(spark, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the white space of the word rules, [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
@@ -18,6 +19,23 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores after it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def extended(schema: T.StructType, ddl: str) -> T.StructType:
+    """``schema`` and the columns of ``ddl`` after it."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def row_key(name: str = "text") -> Column:
     """With doc_id, names a document: rows equal in both are the same document."""
     return F.xxhash64(text_or_empty(name))

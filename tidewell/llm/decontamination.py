@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.columns import document_key
+from tidewell.llm.columns import document_key, fresh
 from tidewell.llm.word_hashes import KIND, hashes, joined, mixed, pieces, segments
-from tidewell.sources.scratch import stored
+from tidewell.scratch import stored
 
 WINDOW, SHORTEST = 13, 6
 BITS = 24
@@ -232,9 +232,10 @@ def contaminated(
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that share no window with an item."""
-    found = contaminated(docs, benchmark, **options).select(F.col("key").alias("_found")).distinct()
-    keyed = docs.withColumn("_document", document_key())
-    return keyed.join(found, F.col("_document") == F.col("_found"), "left_anti").drop("_document")
+    document, leak = fresh(docs, "_document", "_leak")
+    found = contaminated(docs, benchmark, **options).select(F.col("key").alias(leak)).distinct()
+    keyed = docs.withColumn(document, document_key())
+    return keyed.join(found, F.col(document) == F.col(leak), "left_anti").drop(document)
 
 
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.llm.columns import extended, fresh
+
 BLANK = 32
 #: Distinct n-grams a task gathers per language before it passes them on.
 MAX_GRAMS = 1_000_000
@@ -131,21 +133,20 @@ class Profiles:
 
 def identify(docs: DataFrame, profiles: dict[str, list[int]], size: int = 300, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, lang_pred and score (1: the same ranks, 0: nothing in common)."""
-    kept = docs.select(*keep).schema
+    kept, (text_name,) = docs.select(*keep).schema, fresh(docs, "_text")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = Profiles(profiles, size)
         for batch in batches:
-            found = [measure.nearest(t.as_py()) for t in batch["text"]]
+            found = [measure.nearest(t.as_py()) for t in batch[text_name]]
             columns = {n: batch[n] for n in kept.fieldNames()}
             yield pa.record_batch(columns | {
                 "lang_pred": pa.array([n for n, _ in found], pa.string()),
                 "score": pa.array([s for _, s in found], pa.float64()),
             })
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields)
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(of_batches, f"{fields}, lang_pred string, score double")
+    rows = docs.select(*keep, F.col("text").cast("string").alias(text_name))
+    return rows.mapInArrow(of_batches, extended(kept, "lang_pred string, score double"))
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:

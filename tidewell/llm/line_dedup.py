@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.columns import document_key
-from tidewell.sources.scratch import stored
+from tidewell.llm.columns import document_key, fresh
+from tidewell.scratch import stored
 
 # Fixed value: what is stripped from both ends of a line's key.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -188,25 +188,29 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
     return lost.mapInArrow(of_batches, "key string, n_dropped long, bitmap binary")
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with ``_n_dropped`` and ``_bitmap``; a document that loses nothing has NULL there."""
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with the number of dropped lines and the bitmap, and these columns' names; a document that loses nothing
+    has NULL there."""
+    document, key, dropped, bitmap = fresh(docs, "_document", "_key", "_n_dropped", "_bitmap")
     found = bitmaps.select(
-        F.col("key").alias("_key"), F.col("n_dropped").alias("_n_dropped"), F.col("bitmap").alias("_bitmap")
+        F.col("key").alias(key), F.col("n_dropped").alias(dropped), F.col("bitmap").alias(bitmap)
     )
-    keyed = docs.withColumn("_document", document_key())
-    return keyed.join(found, F.col("_document") == F.col("_key"), "left").drop("_document", "_key")
+    keyed = docs.withColumn(document, document_key())
+    joined = keyed.join(found, F.col(document) == F.col(key), "left").drop(document, key)
+    return joined, dropped, bitmap
 
 
 def apply(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with the dropped lines cut out of ``text``, and ``n_chars``, where there is one, brought up to date."""
     schema = docs.schema
     counted = "n_chars" in docs.columns and isinstance(schema["n_chars"].dataType, T.IntegralType)
+    rows, dropped, bitmap_name = with_bitmaps(docs, bitmaps)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = {n: batch[n] for n in schema.fieldNames()}
             texts = batch["text"].to_pylist()
-            for i, bitmap in enumerate(batch["_bitmap"].to_pylist()):
+            for i, bitmap in enumerate(batch[bitmap_name].to_pylist()):
                 if bitmap is not None:
                     texts[i] = cut_text(texts[i], bitmap)
             columns["text"] = pa.array(texts, pa.string())
@@ -215,26 +219,27 @@ def apply(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array(sizes, batch["n_chars"].type)
             yield pa.record_batch(columns)
 
-    return with_bitmaps(docs, bitmaps).drop("_n_dropped").mapInArrow(of_batches, schema)
+    return rows.drop(dropped).mapInArrow(of_batches, schema)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows, dropped, bitmap = with_bitmaps(docs, keep_bitmaps(docs, min_docs=10, min_chars=1))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
-            kept = (cut_text(t, b) for t, b in zip(texts, batch["_bitmap"].to_pylist()))
+            kept = (cut_text(t, b) for t, b in zip(texts, batch[bitmap].to_pylist()))
             digests = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in kept]
             yield pa.record_batch({
                 "doc_id": batch["doc_id"],
                 "n_lines": pa.array([t.count("\n") + 1 for t in texts], pa.int64()),
-                "n_dropped": batch["_n_dropped"].fill_null(0),
+                "n_dropped": batch[dropped].fill_null(0),
                 "kept_sha256": pa.array(digests, pa.string()),
             })
 
     schema = "doc_id long, n_lines long, n_dropped long, kept_sha256 string"
-    return with_bitmaps(docs, keep_bitmaps(docs, min_docs=10, min_chars=1)).mapInArrow(of_batches, schema)
+    return rows.mapInArrow(of_batches, schema)
 
 
 ORACLE = r"""

@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.columns import document_key
+from tidewell.llm.columns import document_key, extended, fresh
 from tidewell.llm.word_hashes import hashes, joined, mixed, pieces, segments
-from tidewell.sources.scratch import stored
+from tidewell.scratch import stored
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 20_000
@@ -123,17 +123,19 @@ def log_weights(texts: list[str | None], ratio: np.ndarray) -> np.ndarray:
     return LENGTH * total / size
 
 
-def _weighed(rows: DataFrame, ratio: np.ndarray, schema) -> DataFrame:
-    """``rows`` with log_weight in place of _text."""
+def _weighed(rows: DataFrame, ratio: np.ndarray, text: str, weight: str) -> DataFrame:
+    """``rows`` with column ``weight`` in place of column ``text``."""
+    kept = rows.drop(text).schema
+
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                columns = {n: part[n] for n in part.schema.names if n != "_text"}
-                weights = log_weights(part["_text"].to_pylist(), ratio)
-                yield pa.record_batch(columns | {"_log_weight": pa.array(weights)})
+                columns = {n: part[n] for n in kept.fieldNames()}
+                columns[weight] = pa.array(log_weights(part[text].to_pylist(), ratio))
+                yield pa.record_batch(columns)
 
-    return rows.mapInArrow(of_batches, schema)
+    return rows.mapInArrow(of_batches, extended(kept, f"`{weight}` double"))
 
 
 def gumbel(key: Column, seed: int = SEED) -> Column:
@@ -191,11 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, bu
     """The classifier, and doc_id, key, log_weight and sample_key of every document."""
     sample = stored(labelled_sample(labels, max_labelled), "quality-sample")
     ratio = fit_ratio(docs, sample, buckets)
-    rows = _with_labels(_rows(docs), sample).withColumnRenamed("text", "_text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, key string, good boolean, _log_weight double"
-    weighed = _weighed(rows.select("doc_id", "key", "good", "_text"), ratio, schema)
-    weighed = weighed.withColumnRenamed("_log_weight", "log_weight")
+    rows = _with_labels(_rows(docs), sample).select("doc_id", "key", "good", "text")
+    weighed = _weighed(rows, ratio, "text", "log_weight")
     weighed = stored(weighed.withColumn("sample_key", F.col("log_weight") + gumbel(F.col("key"))), "quality-weights")
     known = weighed.where("good is not null").select("good", "log_weight").toPandas()
     cut = best_cut(*(known.loc[known["good"] == g, "log_weight"].to_numpy() for g in (True, False)))
@@ -214,11 +213,10 @@ def select_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame
     """The documents that are sampled, all columns. Texts are weighed again where they lie rather than joined to
     their verdicts, which would send every text through a shuffle."""
     model, _ = fit(docs, labels, **options)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    rows = docs.withColumn("_key", document_key()).withColumn("_text", F.col("text").cast("string"))
-    weighed = _weighed(rows, model.ratio, f"{fields}, _key string, _log_weight double")
-    chosen = weighed.where(F.col("_log_weight") + gumbel(F.col("_key")) >= model.threshold)
-    return chosen.select(*docs.columns)
+    key, text, weight = fresh(docs, "_key", "_text", "_log_weight")
+    rows = docs.withColumn(key, document_key()).withColumn(text, F.col("text").cast("string"))
+    weighed = _weighed(rows, model.ratio, text, weight)
+    return weighed.where(F.col(weight) + gumbel(F.col(key)) >= model.threshold).select(*docs.columns)
 
 
 def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:

@@ -29,9 +29,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.columns import document_key
+from tidewell.llm.columns import document_key, fresh
 from tidewell.llm.components import connected_components
-from tidewell.sources.scratch import stored
+from tidewell.scratch import stored
 
 SEED = 42
 #: Shingles hashed at a time, so that a very long text needs no more memory than a short one.
@@ -147,12 +147,13 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest doc_id, NULL last."""
     found = near_duplicates(docs, **options)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("first")
-    keepers = found.groupBy("root").agg(first).select(F.col("first.key").alias("_keeper"))
-    keyed = docs.withColumn("_document", document_key())
-    kept = keyed.join(keepers, F.col("_document") == F.col("_keeper"), "left_semi")
+    document, keeper, row = fresh(docs, "_document", "_keeper", "_row")
+    keepers = found.groupBy("root").agg(first).select(F.col("first.key").alias(keeper))
+    keyed = docs.withColumn(document, document_key())
+    kept = keyed.join(keepers, F.col(document) == F.col(keeper), "left_semi")
     # Repeated rows of the document that stays are rows of one key; one of them stays.
-    alike = Window.partitionBy("_document").orderBy("_document")
-    return kept.withColumn("_row", F.row_number().over(alike)).where("_row = 1").select(*docs.columns)
+    alike = Window.partitionBy(document).orderBy(document)
+    return kept.withColumn(row, F.row_number().over(alike)).where(F.col(row) == 1).select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
