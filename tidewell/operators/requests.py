@@ -23,14 +23,15 @@ def source_slice(
     """
     if sort not in ("ASC", "DESC"):
         raise ValueError(f"sort must be 'ASC' or 'DESC', not {sort!r}")
-    day = F.col(date) if dict(records.dtypes)[date] == "date" else F.col(date).try_cast("date")
+    typed = dict(records.dtypes)[date] == "date"
+    day = F.col(date) if typed else F.col(date).try_cast("date")
     hits = records.where(day.between(F.lit(start_dt).cast("date"), F.lit(end_dt).cast("date")))
     if isinstance(symbols, DataFrame):
         wanted = symbols.toDF("symbol").where(F.col("symbol").isNotNull()).distinct()
         hits = hits.join(wanted, "symbol", "left_semi").select(*records.columns)
     else:
         hits = hits.where(F.col("symbol").isin(sorted(set(symbols))))
-    keys: list[Column] = [day, *(F.col(c) for c in records.columns if c != date), F.col(date)]
+    keys: list[Column] = [day, *(F.col(c) for c in records.columns if c != date)] + [F.col(date)] * (not typed)
     ordered = hits.orderBy(*[k.desc() if sort == "DESC" else k.asc() for k in keys])
     return ordered if limit is None else ordered.limit(limit)
 

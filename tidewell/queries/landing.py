@@ -39,7 +39,7 @@ def corrupt(spark, sf_dir):
         broken.alias("value"), F.date_format("batch_dt", "yyyyMMdd").alias("batch_date")
     )
     path = scratch_dir(spark, "bronze-text")
-    text.write.partitionBy("batch_date").text(path)
+    text.hint("rebalance", "batch_date").write.partitionBy("batch_date").text(path)
     parsed, broken_ones = split_documents(read_landed(spark, path, DIVIDENDS))
     sides = [
         side.groupBy("batch_dt").agg(F.count("*").alias("documents")).withColumn("side", F.lit(name))
