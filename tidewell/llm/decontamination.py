@@ -15,7 +15,7 @@ sends more chance hits into the join, never fewer matches.
 
 Defined cases: NULL or blank texts have no windows; an item shorter than a window but of at least ``shortest`` words is
 one window of its length; windows in which fewer than half the words are literals say too little and are left
-out; equal windows of several items are reported under the smallest item_id; repeated rows and NULL doc_ids keep their
+out; equal windows of several items are reported under the smallest item_id, and ``item_windows`` lists their members; repeated rows and NULL doc_ids keep their
 own rows of the result; empty tables give no row; other columns are ignored, or kept by ``clean_documents``.
 """
 
@@ -163,12 +163,16 @@ def _item_windows(window: int, shortest: int):
     return of_batches
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
-    """h, size, the smallest item_id that has the window, and how many do."""
+def item_windows(benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
+    """item_id, h and size of every window: which items a window stands for."""
     kind = benchmark.schema["item_id"].dataType.simpleString()
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    found = rows.mapInArrow(_item_windows(window, shortest), f"item_id {kind}, h long, size long")
-    return found.groupBy("h", "size").agg(
+    return rows.mapInArrow(_item_windows(window, shortest), f"item_id {kind}, h long, size long")
+
+
+def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
+    """h, size, the smallest item_id that has the window, and how many do (``item_windows`` names them all)."""
+    return item_windows(benchmark, window, shortest).groupBy("h", "size").agg(
         F.min("item_id").alias("item_id"), F.count_distinct("item_id").alias("n_items")
     )
 
