@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 # Kind of each byte: 0 blank, 1 word, 2 other sign.
