@@ -1,17 +1,16 @@
 r"""Line dedup: range-partitioned line hashes, streamed in order, giving keep bitmaps instead of text.
 
-Every non-empty line of a document becomes (hash, document, position). The rows are range-partitioned and
-sorted by all three, so one line's occurrences are one run in (document, position) order, and a line that
-stands in a third of all documents is simply a run over many partitions. Each task streams its partition with the
-memory of one run's counters: a run inside the partition is decided at once; a run at either edge may go on in the next
-partition, so the task passes its rows on undecided, with one summary row per edge. Summaries (two per partition) are
+Every non-empty line of a document becomes (hash, document, position). The rows are range-partitioned and sorted by
+all three, so one line's occurrences are one run in (document, position) order, and a line that stands in a third of
+all documents is simply a run over many partitions. Each task streams its partition, and holds a run's rows only until
+``min_docs`` documents are seen. A run inside the partition is then decided; a run at either edge may go on in the next
+partition, so what is undecided there is passed on with one summary row per edge. Summaries (two per partition) are
 added up and joined to the undecided rows.
 
 Two policies: ``keep="none"`` drops every occurrence of a line found in ``min_docs`` documents or more;
 ``keep="first"`` leaves the first occurrence in (document, position) order.
 
-The result per document is the number of lines and a zlib-compressed bitmap, a bit per line, 1 for keep. Documents of
-which every line stays have no bitmap.
+The result is a zlib-compressed bitmap for each document that loses a line: a bit per line, 1 for keep.
 
 Defined cases: NULL or empty text is one empty line; an empty key is never dropped; rows equal in doc_id and text
 are one document when documents are counted, and all are cut alike; NULL doc_id is a value like any other; an empty
@@ -168,7 +167,7 @@ def cut_text(text: str | None, bitmap: bytes | None) -> str:
 
 
 def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: str = "none") -> DataFrame:
-    """key, n_lines, n_dropped and the bitmap of every document that loses a line, once per document."""
+    """key, n_dropped and the bitmap of every document that loses a line, once per document."""
     if keep not in ("none", "first"):
         raise ValueError(f"keep must be 'none' or 'first', not {keep!r}")
     hashes = stored(line_hashes(docs, min_chars), "line-hashes")
