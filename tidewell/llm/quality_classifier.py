@@ -196,7 +196,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, bu
     rows = _with_labels(_rows(docs), sample).select("doc_id", "key", "good", "text")
     weighed = _weighed(rows, ratio, "text", "log_weight")
     weighed = stored(weighed.withColumn("sample_key", F.col("log_weight") + gumbel(F.col("key"))), "quality-weights")
-    known = weighed.where("good is not null").select("good", "log_weight").toPandas()
+    # A row per labelled document of the sample, however often the table repeats it.
+    known = weighed.where("good is not null").groupBy("doc_id").agg(
+        F.max("good").alias("good"), F.avg("log_weight").alias("log_weight")
+    ).toPandas()
     cut = best_cut(*(known.loc[known["good"] == g, "log_weight"].to_numpy() for g in (True, False)))
     k = weighed.where(F.col("log_weight") >= cut).count()
     threshold = kth_largest(weighed, "sample_key", k) if k else float("inf")
