@@ -1,6 +1,6 @@
 """The run ledger: lookup, new batches, insert, counts."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -9,7 +9,7 @@ from tidewell.operators import ledger
 from tidewell.queries.inputs import table
 from tidewell.sources import scratch_dir
 
-STARTED = datetime(2024, 1, 5, 12, 0, 0)
+STARTED = datetime(2024, 1, 5, 12, 0, 0, tzinfo=timezone.utc)
 LOOKED_UP = date(1998, 6, 12)
 
 
@@ -56,7 +56,7 @@ BATCHES = """b as (select 'dividends' as data_cat, cast(date_trunc('week', o_ord
   cast(date_trunc('week', o_orderdate) as date) as start_dt, cast(date_trunc('week', o_orderdate) as date) + 4 as end_dt
   from orders)"""
 ROWS = """'WAITING' as extract_status, 'WAITING' as transform_status, 'WAITING' as load_status,
-  timestamptz '2024-01-05 12:00:00+00' as start_time, null::timestamptz as end_time"""
+  timestamp '2024-01-05 12:00:00' as start_time, null::timestamp as end_time"""
 
 QUERIES = {
     "ledger_insert": (ledger_insert, f"with {BATCHES} select distinct *, {ROWS} from b"),
