@@ -156,3 +156,30 @@ def op3_language_id(spark, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder == 2, F.lit(False))
     found = identify(docs.select("doc_id", "text"), profiles)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+# CRC-32 (reflected polynomial 0xEDB88320) of doc_id's decimal digits, which are ASCII.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::bigint],
+    list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint)),
+    lambda acc, c: list_reduce(list_concat([xor(acc, c)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+ORACLE = rf"""
+with d as (select doc_id, lang, {_CRC} % 4 = 2 as held_out,
+    trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', ' ', 'g')) as t from documents),
+s as (select *, string_split(' ' || t || ' ', '') as c from d where t <> ''),
+u as (select doc_id, lang, held_out, c, unnest(range(1, len(c) + 1)) as i from s),
+g as (select doc_id, lang, held_out, c[i] as g, 1 as k from u where c[i] <> ' '
+  union all select doc_id, lang, held_out, c[i] || c[i + 1], 2 from u where i < len(c)
+  union all select doc_id, lang, held_out, c[i] || c[i + 1] || c[i + 2], 3 from u where i + 1 < len(c) and c[i + 1] <> ' '),
+n as (select doc_id, lang, held_out, g, k, count(*) as n from g group by all),
+o as (select *, row_number() over (partition by doc_id order by n desc, k, g) as r from n qualify r <= 300),
+l as (select lang, g, row_number() over (partition by lang order by sum(n) desc, k, g) as r
+  from n where lang is not null and not held_out group by lang, g, k qualify r <= 300),
+a as (select doc_id, x.lang, sum(coalesce(abs(o.r - l.r), 300)) as far, count(*) as m
+  from o cross join (select distinct lang from l) x left join l on l.lang = x.lang and l.g = o.g group by doc_id, x.lang),
+b as (select doc_id, min((far, lang)) as best, any_value(m) as m from a group by doc_id)
+select d.doc_id, held_out, coalesce(best[2], 'und') as lang_pred,
+  coalesce(1.0::double - best[1]::double / (300 * m), 0.0)::double as score
+from d left join b using (doc_id)
+"""
