@@ -253,3 +253,34 @@ def test_pieces_of_long_texts_give_the_same_words(monkeypatch):
         monkeypatch.setattr(module, "pieces", functools.partial(word_hashes.pieces, size=100))
     assert together(decontamination.canonical_texts(texts)) == whole[0]
     assert sorted(zip(*together(quality_classifier.ngrams(texts)))) == whole[1]
+
+
+def test_canonical_windows_equal_their_sql(spark):
+    import duckdb
+    import pyarrow as pa
+
+    rnd = random.Random(11)
+    words = ["the", "train", "runs", "from", "to", "Paris", "Rome", "Maria", "LOPEZ", "Écoute", "élan", "5", "12", "km", "Hours", "é"]
+    gaps = [" ", " ", " ", " ", ", ", ". ", "\n", ".", ",", "  ", "-", "\t", "! "]
+
+    def sentence(n):
+        return "".join(rnd.choice(words) + rnd.choice(gaps) for _ in range(n))
+
+    items = [sentence(rnd.randint(0, 25)) for _ in range(30)] + [None, ""]
+    items += [items[0], items[1].replace("5", "7").replace("Paris", "Oslo")]
+    texts = [None, "", "Zu"] + [sentence(rnd.randint(0, 60)) for _ in range(200)]
+    for i in range(100):
+        item = rnd.choice(items) or ""
+        for old, new in (("5", "9"), ("Maria", "Eva"), ("km", "miles"), ("12", "5"), ("Rome", "Paris")):
+            item = item.replace(old, new) if rnd.random() < 0.4 else item
+        texts.append(sentence(4) + item + sentence(4))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", texts), ("benchmark", "item_id", items)):
+        con.register(name, pa.table({key: pa.array(range(len(rows)), pa.int64()), "text": pa.array(rows, pa.string())}))
+    want = con.sql(decontamination.ORACLE).fetchall()
+    got = decontamination.contaminated(docs, benchmark).select("doc_id", "item_id", "n_windows", "n_items").collect()
+    assert len(want) > 20
+    missing, extra = set(want) - set(map(tuple, got)), set(map(tuple, got)) - set(want)
+    assert not missing and not extra and len(got) == len(want)

@@ -246,3 +246,48 @@ def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, benchmark = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
     found = contaminated(docs, benchmark)
     return found.select("doc_id", "item_id", "n_windows", "n_items")
+
+
+def _canonical_sql(name: str, key: str, table: str) -> str:
+    """CTEs that end in ``<name>_c``: per row the canonical words and the slots' values, '' for literals."""
+    word = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+    lower = "translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    return rf"""
+{name}_w as (select {key}, unnest(regexp_extract_all(text, '{word}')) as w, unnest(regexp_split_to_array(text, '{word}')[:-2]) as gap,
+    generate_subscripts(regexp_extract_all(text, '{word}'), 1) as i from {table} where regexp_matches(text, '{word}')),
+{name}_k as (select *, regexp_full_match(w, '[0-9]+') as number, i > 1 and not regexp_matches(gap, '[.!?\n]') as inside,
+    regexp_matches(w, '^[A-Z\x{{C0}}-\x{{DE}}]') as capital, {lower} as low from {name}_w),
+{name}_n as (select *, capital and inside and not number as name,
+    coalesce(lag(number) over (partition by {key} order by i), false) as after_number from {name}_k),
+{name}_g as (select *, case when number then '1' when name then '2' when after_number and inside and low in ({units}) then '3'
+      else '' end as kind,
+    i > 1 and length(gap) = 1 and (number and after_number and gap in (',', '.')
+      or name and coalesce(lag(name) over (partition by {key} order by i), false) and regexp_matches(gap, '[\x00-\x20\x7F]')) as on_
+  from {name}_n),
+{name}_h as (select *, count(*) filter (not on_) over (partition by {key} order by i) as grp from {name}_g),
+{name}_s as (select {key}, grp, arg_min(kind, i) as kind, arg_min(low, i) as low,
+    array_to_string(list_sort(list(low)), ' ') as v from {name}_h group by {key}, grp),
+{name}_c as (select {key}, list(case when kind = '' then low else '<' || kind || '>' end order by grp) as c,
+    list(case when kind = '' then '' else kind || v end order by grp) as v from {name}_s group by {key})"""
+
+
+def _windows_sql(key: str, source: str, size: str) -> str:
+    """Rows (key, size, x): the canonical text of each window that says enough, its pattern of equal slots after it."""
+    return f"""
+  select {key}, size, array_to_string(c, ' ') || case when len(list_filter(v, lambda y: y <> '')) > 1
+    then '|' || array_to_string(list_transform(v, lambda y: case when y = '' then 0 else list_position(v, y) end), ',') else '' end as x
+  from (select {key}, size, c[i : i + size - 1] as c, v[i : i + size - 1] as v
+    from (select {key}, c, v, {size} as size, unnest(range(1, len(c) - {size} + 2)) as i from {source}))
+  where 2 * len(list_filter(v, lambda y: y <> '')) <= size"""
+
+
+ORACLE = f"""
+with {_canonical_sql('b', 'item_id', 'benchmark')},
+{_canonical_sql('d', 'doc_id', 'documents')},
+bw as ({_windows_sql('item_id', f'(select * from b_c where len(c) >= {SHORTEST})', f'least({WINDOW}, len(c))')}),
+bs as (select x, min(item_id) as item_id, count(distinct item_id) as n_items from bw group by x),
+dw as ({_windows_sql('doc_id', '(select * from d_c, (select distinct size as z from bw) where len(c) >= z)', 'z')})
+select doc_id, item_id, count(distinct x)::bigint as n_windows, max(n_items)::bigint as n_items
+from dw join bs using (x) group by doc_id, item_id
+"""
