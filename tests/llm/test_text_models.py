@@ -60,6 +60,22 @@ def test_the_cache_is_asked_first(spark, odd_docs, library):
     assert token_counts.count_tokens(odd_docs, PATH, other).where("n_tokens < 0").count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_other_files_are_counted_by_their_library(spark, odd_docs, name):
+    import sentencepiece
+
+    path = public_tokenizers.path(name)
+    texts = [r["text"] or "" for r in odd_docs.collect()]
+    if name.endswith(".model"):
+        want = list(map(len, sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)))
+    else:
+        want = list(map(len, ids_of(Tokenizer.from_file(path), texts)))
+        with pytest.raises(ValueError):
+            bpe.Merges(path)
+    got = token_counts.count_tokens(odd_docs, path, scratch_dir(spark, "cache")).collect()
+    assert sorted(r["n_tokens"] for r in got) == sorted(want)
+
+
 def test_counting_nothing(spark, no_docs):
     assert token_counts.count_tokens(no_docs, PATH, scratch_dir(spark, "cache")).collect() == []
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.columns import extended, fresh
-from tidewell.llm.pretokens import SPACE, pattern
+from tidewell.llm.pretokens import SPACE, pattern, plain_byte_level
 
 #: Words a task remembers; past it, the older half of what it knows is let go.
 MAX_WORDS = 1_200_000
@@ -53,6 +53,8 @@ class Merges:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        if not plain_byte_level(path):
+            raise ValueError(f"not a plain byte-level BPE file: {path}")
         letters = byte_letters()
         vocab = spec["model"]["vocab"]
         size = 1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])])

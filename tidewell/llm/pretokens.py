@@ -5,6 +5,7 @@ underscore, and the number signs that Python counts as letters are listed from t
 alike.
 """
 
+import json
 import re
 import sys
 import unicodedata
@@ -33,3 +34,16 @@ def pattern() -> re.Pattern:
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_{numbers}]+| ?[\d{numbers}]+| ?(?:[^\w{SPACE}]|_)+"
         rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
     )
+
+
+def plain_byte_level(path: str) -> bool:
+    """Whether a tokenizers file cuts texts by the byte-level pattern and does nothing else to them, so that each word's
+    tokens depend on the word alone."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    cutter = spec["pre_tokenizer"] or {}
+    odd = any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
+    return (
+        spec["normalizer"] is None and spec["model"]["type"] == "BPE" and cutter.get("type") == "ByteLevel"
+        and not cutter.get("add_prefix_space") and cutter.get("use_regex", True) and not odd
+    )

@@ -8,8 +8,8 @@ Normalised content: NULL is the empty text and text is UTF-8; nothing else may c
 change its count. Copies are thinned in each task before the shuffle, so a text that fills a third of the table reaches
 the task that encodes it once per input task.
 
-Within a task the same saving is made for words: a word of the byte-level split is encoded by the library once and
-looked up from then on. Special strings inside texts count as the one token the library makes of them.
+Files ending in .json are counted by tokenizers, files ending in .model by sentencepiece. For plain byte-level files the same
+saving is made for words within a task: a word of the split is encoded by the library once and looked up from then on. Special strings inside texts count as the one token the library makes of them.
 
 Defined cases: repeated rows and NULL doc_ids stay as rows; an empty or NULL text has 0 tokens and 0 bytes; an
 empty table gives no row and appends nothing; other columns are ignored.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.columns import text_or_empty
-from tidewell.llm.pretokens import pattern
+from tidewell.llm.pretokens import pattern, plain_byte_level
 from tidewell.scratch import scratch_dir, stored
 
 CACHE = "digest string, tokenizer string, n_tokens long"
@@ -35,8 +35,29 @@ CACHE = "digest string, tokenizer string, n_tokens long"
 MAX_WORDS = 1_500_000
 
 
+class TextCounts:
+    """Token counts of texts as the file's library gives them for whole texts."""
+
+    def __init__(self, path: str):
+        if path.endswith(".model"):
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.encode = lambda texts: model.encode(texts, num_threads=1)
+        else:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+            self.encode = lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def counts(self, texts: list[str]) -> list[int]:
+        return list(map(len, self.encode(texts)))
+
+
 class WordCounts:
-    """Token counts of texts under a tokenizers file, remembering words."""
+    """Token counts of texts under a plain byte-level file, remembering words."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -82,8 +103,9 @@ class Memory(dict):
 
 
 @cache
-def _word_counts(path: str) -> WordCounts:
-    return WordCounts(path)
+def counter(path: str) -> TextCounts | WordCounts:
+    """One per task process."""
+    return WordCounts(path) if path.endswith(".json") and plain_byte_level(path) else TextCounts(path)
 
 
 def tokenizer_digest(path: str) -> str:
@@ -115,7 +137,7 @@ def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _encoder(path: str, slice_chars: int = 1_000_000):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _word_counts(path)
+        count = counter(path).counts
         for batch in _first_of_each(batches):
             texts, counts, at = batch["text"].to_pylist(), [], 0
             while at < len(texts):
@@ -123,7 +145,7 @@ def _encoder(path: str, slice_chars: int = 1_000_000):
                 while end < len(texts) and (end == at or size + len(texts[end]) <= slice_chars):
                     size += len(texts[end])
                     end += 1
-                counts += counter.counts(texts[at:end])
+                counts += count(texts[at:end])
                 at = end
             yield pa.record_batch({"digest": batch["digest"], "n_tokens": pa.array(counts, pa.int64())})
 
