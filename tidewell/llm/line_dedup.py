@@ -70,7 +70,7 @@ class _Run:
     """A line's occurrences so far in this partition. Rows wait only until ``min_docs`` documents are seen."""
 
     def __init__(self, h: tuple[int, int], key: str, pos: int):
-        self.h, self.first, self.docs, self.last = h, (key, pos), 0, None
+        self.h, self.first, self.docs, self.last, self.row = h, (key, pos), 0, None, None
         self.waiting: list[tuple[str, int]] = []
 
 
@@ -107,6 +107,9 @@ def _stream(min_docs: int, keep_first: bool):
                         close(run, is_first_run)
                         is_first_run = False
                     run = _Run((a, b), key, pos)
+                if run.row == (key, pos):
+                    continue  # a repeated row of the table: the same document, the same place
+                run.row = (key, pos)
                 if key != run.last:
                     run.docs += 1
                     run.last = key

@@ -149,11 +149,10 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("first")
     document, keeper, row = fresh(docs, "_document", "_keeper", "_row")
     keepers = found.groupBy("root").agg(first).select(F.col("first.key").alias(keeper))
-    keyed = docs.withColumn(document, document_key())
-    kept = keyed.join(keepers, F.col(document) == F.col(keeper), "left_semi")
-    # Repeated rows of the document that stays are rows of one key; one of them stays.
+    # Repeated rows are rows of one key; one of them stays, chosen in part before the shuffle, which the join then shares.
     alike = Window.partitionBy(document).orderBy(document)
-    return kept.withColumn(row, F.row_number().over(alike)).where(F.col(row) == 1).select(*docs.columns)
+    keyed = docs.withColumn(document, document_key()).withColumn(row, F.row_number().over(alike)).where(F.col(row) == 1)
+    return keyed.join(keepers, F.col(document) == F.col(keeper), "left_semi").select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
