@@ -5,7 +5,7 @@ folder, so lineage stays short and a lost executor costs one step. Nothing but t
 reaches the driver.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewell.scratch import stored
@@ -23,19 +23,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written and read back, and their number and digest as the write saw them."""
+    seen = Observation("edges")
+    counted = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("digest"))
+    now = stored(counted, "components")
+    return now, (seen.get["n"], seen.get["digest"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v) but the roots themselves; a root is the smallest
     node reachable. Loops, repeated edges and either direction are allowed."""
     ordered = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now = stored(ordered.where("u <> v").distinct(), "components")
-    state = _state(now)
+    now, state = _stored(ordered.where("u <> v").distinct())
     while state[0]:
-        now = stored(_small_star(_large_star(now).distinct()).distinct(), "components")
-        before, state = state, _state(now)
+        before = state
+        now, state = _stored(_small_star(_large_star(now).distinct()).distinct())
         if state == before:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
