@@ -123,19 +123,19 @@ def log_weights(texts: list[str | None], ratio: np.ndarray) -> np.ndarray:
     return LENGTH * total / size
 
 
-def _weighed(rows: DataFrame, ratio: np.ndarray, text: str, weight: str) -> DataFrame:
-    """``rows`` with column ``weight`` in place of column ``text``."""
-    kept = rows.drop(text).schema
+def _weighed(rows: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """``rows`` with log_weight in place of text."""
+    kept = rows.drop("text").schema
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 columns = {n: part[n] for n in kept.fieldNames()}
-                columns[weight] = pa.array(log_weights(part[text].to_pylist(), ratio))
+                columns["log_weight"] = pa.array(log_weights(part["text"].to_pylist(), ratio))
                 yield pa.record_batch(columns)
 
-    return rows.mapInArrow(of_batches, extended(kept, f"`{weight}` double"))
+    return rows.mapInArrow(of_batches, extended(kept, "log_weight double"))
 
 
 def gumbel(key: Column, seed: int = SEED) -> Column:
@@ -194,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, bu
     sample = stored(labelled_sample(labels, max_labelled), "quality-sample")
     ratio = fit_ratio(docs, sample, buckets)
     rows = _with_labels(_rows(docs), sample).select("doc_id", "key", "good", "text")
-    weighed = _weighed(rows, ratio, "text", "log_weight")
+    weighed = _weighed(rows, ratio)
     weighed = stored(weighed.withColumn("sample_key", F.col("log_weight") + gumbel(F.col("key"))), "quality-weights")
     # A row per labelled document of the sample, however often the table repeats it.
     known = weighed.where("good is not null").groupBy("doc_id").agg(
@@ -216,10 +216,16 @@ def select_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame
     """The documents that are sampled, all columns. Texts are weighed again where they lie rather than joined to
     their verdicts, which would send every text through a shuffle."""
     model, _ = fit(docs, labels, **options)
-    key, text, weight = fresh(docs, "_key", "_text", "_log_weight")
-    rows = docs.withColumn(key, document_key()).withColumn(text, F.col("text").cast("string"))
-    weighed = _weighed(rows, model.ratio, text, weight)
-    return weighed.where(F.col(weight) + gumbel(F.col(key)) >= model.threshold).select(*docs.columns)
+    schema, (noise,) = docs.schema, fresh(docs, "_noise")
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                keys = log_weights(part["text"].to_pylist(), model.ratio) + part[noise].to_numpy()
+                yield part.select(schema.fieldNames()).filter(pa.array(keys >= model.threshold))
+
+    return docs.withColumn(noise, gumbel(document_key())).mapInArrow(chosen, schema)
 
 
 def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:
