@@ -210,6 +210,17 @@ def test_short_items_and_copies_of_items(spark):
     assert flagged(spark, [f"x {short} y", "seven small words make"], [short, short, "too short"]) == {(0, 0)}
 
 
+def test_names_are_found_at_any_place_and_in_any_letters(spark):
+    alice = "Alice has 5 apples and buys 3 more pears. How many fruits are there?"
+    short = "What is the capital of that country"
+    texts = [
+        alice.replace("Alice", "Bob").replace("5", "7"), "So we read: " + alice.replace("Alice", "Bob"), f"Q: {short}?",
+        f"He asked ({short})", ITEM.upper(), "Alice has 5 pears. How many apples are there?", "WHAT IS THE COLOUR OF THAT COUNTRY",
+    ]
+    found = flagged(spark, texts, [alice, short, ITEM], forms=decontamination.FORMS)
+    assert found == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)}
+
+
 def test_any_benchmark_size_gives_the_same_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

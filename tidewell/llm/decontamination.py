@@ -4,6 +4,10 @@ Words of benchmark items and documents become literals in lower case or typed pl
 NAME (a run of capitalised words inside a sentence) and UNIT (a unit of measure after a number). Windows of ``window``
 canonical words are hashed and joined, so a question asked again with other numbers, names or units is found.
 
+A name may open a sentence, and a question may be quoted in other letters. So windows are taken in ``FORMS`` on both
+sides, each joined with its own: CANONICAL as above (what ``ORACLE`` says); ANYWHERE, where every capitalised word is a
+NAME, at a sentence start too; LOWER, where no word is one.
+
 Slot consistency: a document's window is the benchmark's window with other slot values exactly if one-to-one
 replacement of values leads from one to the other, that is, if the same slots hold equal values on both sides. That
 pattern of equal slots goes into the window's hash, so inconsistent windows never meet, and a template that fills
@@ -43,6 +47,9 @@ months year years percent degree degrees dollar dollars euro euros cent cents us
 NUMBER, NAME, UNIT = (np.uint64(n) for n in (1, 2, 3))
 SLOT = {"NUMBER": NUMBER, "NAME": NAME, "UNIT": UNIT}
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+# Forms of a text: names inside sentences only, names wherever a capital is, no names, and no slots at all.
+CANONICAL, ANYWHERE, LOWER, PLAIN = range(4)
+FORMS = (CANONICAL, ANYWHERE, LOWER)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -60,8 +67,9 @@ def _unit_hashes() -> np.ndarray:
 _UNITS = _unit_hashes()
 
 
-def _canonical(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Canonical words of the parts: part number, canonical hash, slot value (0 for literals), and whether it is a slot."""
+def _words(parts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Words of the parts: part number, hash in lower case, whether all digits, whether capitalised, and what lies before
+    each: whether no text start or stop does, one ',' or '.', one blank."""
     data, at = joined(parts)
     kinds = KIND[data]
     starts, ends = segments(data, kinds)
@@ -69,11 +77,11 @@ def _canonical(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     starts, ends = starts[word], ends[word]
     part = np.searchsorted(at, starts, side="right") - 1
     if not len(starts):
-        none = np.empty(0, dtype=np.uint64)
-        return part, none, none, np.empty(0, dtype=bool)
+        none = np.empty(0, dtype=bool)
+        return part, np.empty(0, dtype=np.uint64), none, none, none, none, none
     value = hashes(_LOWER[data], starts, ends)
     same_part = np.r_[False, part[1:] == part[:-1]]
-    gap = np.r_[0, starts[1:] - ends[:-1]]
+    near = same_part & (np.r_[0, starts[1:] - ends[:-1]] == 1)
 
     digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
     number = digits[ends] - digits[starts] == ends - starts
@@ -81,50 +89,61 @@ def _canonical(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     inside = same_part & np.r_[False, stops[starts[1:]] == stops[ends[:-1]]]
     first, second = data[starts], data[np.minimum(starts + 1, len(data) - 1)]
     capital = (first >= 65) & (first <= 90) | (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
-    name = capital & inside & ~number
+    mark = data[np.maximum(starts - 1, 0)]
+    return part, value, number, capital & ~number, inside, near & ((mark == 44) | (mark == 46)), near & (KIND[mark] == 0)
+
+
+def _canonical(words: tuple[np.ndarray, ...], form: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Canonical words in a form: row, canonical hash, slot value (0 for literals), and whether it is a slot."""
+    row, value, number, capital, inside, pointed, spaced = words
+    if form == PLAIN or not len(row):
+        return row, value, np.zeros(len(row), dtype=np.uint64), np.zeros(len(row), dtype=bool)
+    name = capital & {CANONICAL: inside, ANYWHERE: True, LOWER: False}[form]
     after_number = np.r_[False, number[:-1]] & inside
     place = np.minimum(np.searchsorted(_UNITS, value), len(_UNITS) - 1)
     unit = (_UNITS[place] == value) & after_number & ~name
 
     # 1,234.5 is one number, and a name of several words is one name.
-    mark = data[np.maximum(starts - 1, 0)]
-    goes_on = same_part & (gap == 1) & (
-        number & np.r_[False, number[:-1]] & ((mark == 44) | (mark == 46))
-        | name & np.r_[False, name[:-1]] & (KIND[mark] == 0)
-    )
+    goes_on = number & np.r_[False, number[:-1]] & pointed | name & np.r_[False, name[:-1]] & spaced & inside
     head = np.flatnonzero(~goes_on)
     total = np.add.reduceat(value, head)
     kind = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, np.uint64(0))))[head]
     slot = kind > 0
-    return part[head], np.where(slot, kind, value[head]), np.where(slot, mixed(total + kind), np.uint64(0)), slot
+    return row[head], np.where(slot, kind, value[head]), np.where(slot, mixed(total + kind), np.uint64(0)), slot
 
 
-def _window_hashes(word: np.ndarray, value: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every window of ``size`` canonical words, its pattern of equal slots included, and whether it says enough."""
+def _template_hashes(word: np.ndarray, slot: np.ndarray, size: int, form: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every window of ``size`` canonical words, slots by their kind, and whether it says enough."""
     n = len(word) - size + 1
     h = np.zeros(n, dtype=np.uint64)
     for k in range(size):
         h = h * _STEP + word[k : k + n]
     slots = np.concatenate([[0], np.cumsum(slot)])
-    filled = slots[size:] - slots[:-size]
-    several = np.flatnonzero(filled > 1)
+    return mixed(h + np.uint64(size + 1000 * form)), 2 * (slots[size:] - slots[:-size]) <= size
+
+
+def _window_hashes(h: np.ndarray, at: np.ndarray, value: np.ndarray, slot: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the windows that start ``at``, their pattern of equal slots included; the last ``BITS`` bits are those of ``h``."""
+    h = h[at]
+    open_ = np.lib.stride_tricks.sliding_window_view(slot, size)[at]
+    several = np.flatnonzero(open_.sum(axis=1) > 1)
     if len(several):
         # Literals and slots alike are named by where their value first stands in the window.
-        values = np.lib.stride_tricks.sliding_window_view(value, size)[several]
-        open_ = np.lib.stride_tricks.sliding_window_view(slot, size)[several]
+        values, open_ = np.lib.stride_tricks.sliding_window_view(value, size)[at[several]], open_[several]
         pattern = np.zeros(len(several), dtype=np.uint64)
         for k in range(size):
             equal = (values[:, : k + 1] == values[:, k : k + 1]) & open_[:, : k + 1]
             pattern = pattern * _STEP + np.where(open_[:, k], equal.argmax(axis=1) + 1, 0).astype(np.uint64)
-        h[several] ^= mixed(pattern)
-    return mixed(h + np.uint64(size)), 2 * filled <= size
+        last = np.uint64((1 << BITS) - 1)
+        h[several] = h[several] & last | mixed(h[several] ^ mixed(pattern)) & ~last
+    return h
 
 
-def canonical_texts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Canonical words of whole texts, in groups: row, word, value, slot. A long text's pieces are put together again."""
+def _texts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
+    """``_words`` of whole texts, in groups, by row. A long text's pieces are put together again."""
     held, held_row = [], -1
     for rows, parts in pieces(texts):
-        part, *rest = _canonical(parts)
+        part, *rest = _words(parts)
         found = (np.array(rows, dtype=np.int64)[part], *rest)
         if held and rows[0] != held_row:
             yield tuple(map(np.concatenate, zip(*held)))
@@ -138,41 +157,50 @@ def canonical_texts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.nd
         yield tuple(map(np.concatenate, zip(*held)))
 
 
-def _item_windows(window: int, shortest: int):
+def canonical_texts(texts: list[str | None], form: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Canonical words of whole texts, in groups: row, word, value, slot."""
+    for words in _texts(texts):
+        yield _canonical(words, form)
+
+
+def _item_windows(window: int, shortest: int, forms: tuple[int, ...]):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items, found, sizes = [], [], []
-            for row, word, value, slot in canonical_texts(batch["text"].to_pylist()):
-                for r in np.unique(row):
-                    own = row == r
-                    size = min(window, int(own.sum()))
-                    if size < shortest:
-                        continue
-                    h, enough = _window_hashes(word[own], value[own], slot[own], size)
-                    h = h[enough].view(np.int64)
-                    items.append(np.full(len(h), r))
-                    found.append(h)
-                    sizes.append(np.full(len(h), size))
-            take = np.concatenate(items) if items else np.empty(0, dtype=np.int64)
+            # Item, hash, size and form.
+            found = [np.empty((4, 0), dtype=np.int64)]
+            for words in _texts(batch["text"].to_pylist()):
+                for form in forms:
+                    row, word, value, slot = _canonical(words, form)
+                    for r in np.unique(row):
+                        own = row == r
+                        size = min(window, int(own.sum()))
+                        if size < shortest:
+                            continue
+                        h, enough = _template_hashes(word[own], slot[own], size, form)
+                        h = _window_hashes(h, np.flatnonzero(enough), value[own], slot[own], size).view(np.int64)
+                        found.append(np.stack([np.full(len(h), r), h, np.full(len(h), size), np.full(len(h), form)]))
+            take, h, size, form = np.concatenate(found, axis=1)
             yield pa.record_batch({
-                "item_id": batch["item_id"].take(pa.array(take)),
-                "h": pa.array(np.concatenate(found) if found else np.empty(0, dtype=np.int64)),
-                "size": pa.array(np.concatenate(sizes) if sizes else np.empty(0, dtype=np.int64)),
+                "item_id": batch["item_id"].take(pa.array(take)), "h": pa.array(h), "size": pa.array(size), "form": pa.array(form),
             })
 
     return of_batches
 
 
-def item_windows(benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
-    """item_id, h and size of every window: which items a window stands for."""
+def item_windows(
+    benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, forms: tuple[int, ...] = (CANONICAL,)
+) -> DataFrame:
+    """item_id, h, size and form of every window: which items a window stands for."""
     kind = benchmark.schema["item_id"].dataType.simpleString()
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_item_windows(window, shortest), f"item_id {kind}, h long, size long")
+    return rows.mapInArrow(_item_windows(window, shortest, forms), f"item_id {kind}, h long, size long, form long")
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
-    """h, size, the smallest item_id that has the window, and how many do (``item_windows`` names them all)."""
-    return item_windows(benchmark, window, shortest).groupBy("h", "size").agg(
+def benchmark_windows(
+    benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, forms: tuple[int, ...] = (CANONICAL,)
+) -> DataFrame:
+    """h, size, form, the smallest item_id that has the window, and how many do (``item_windows`` names them all)."""
+    return item_windows(benchmark, window, shortest, forms).groupBy("h", "size", "form").agg(
         F.min("item_id").alias("item_id"), F.count_distinct("item_id").alias("n_items")
     )
 
@@ -187,24 +215,29 @@ def bitmap(windows: DataFrame, bits: int = BITS) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _document_windows(filled: np.ndarray, sizes: list[int], bits: int):
+def _document_windows(filled: np.ndarray, sizes: list[tuple[int, int]], bits: int):
     last = np.uint64((1 << bits) - 1)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, hits = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
             for at in range(0, batch.num_rows, 1024):
-                for row, word, value, slot in canonical_texts(batch["text"].slice(at, 1024).to_pylist()):
-                    for size in sizes:
+                for words in _texts(batch["text"].slice(at, 1024).to_pylist()):
+                    made = -1
+                    for form, size in sizes:
+                        if form != made:
+                            row, word, value, slot = _canonical(words, form)
+                            made = form
                         if len(word) < size:
                             continue
-                        h, enough = _window_hashes(word, value, slot, size)
+                        h, enough = _template_hashes(word, slot, size, form)
                         place = h & last
                         hit = (filled[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0
                         hit &= enough & (row[: len(h)] == row[size - 1 :])
                         # A window said again and again in one text counts once.
                         where = np.flatnonzero(hit)
-                        pairs = np.unique(np.stack([row[where] + at, h[where].view(np.int64)]), axis=1)
+                        full = _window_hashes(h, where, value, slot, size).view(np.int64)
+                        pairs = np.unique(np.stack([row[where] + at, full]), axis=1)
                         rows.append(pairs[0])
                         hits.append(pairs[1])
             take = pa.array(np.concatenate(rows))
@@ -217,34 +250,39 @@ def _document_windows(filled: np.ndarray, sizes: list[int], bits: int):
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, bits: int = BITS
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, bits: int = BITS,
+    forms: tuple[int, ...] = (CANONICAL,),
 ) -> DataFrame:
-    """doc_id, key, item_id and the number of distinct windows they share, for every document and item that share one."""
-    windows = stored(benchmark_windows(benchmark, window, shortest), "benchmark-windows")
-    sizes = [row["size"] for row in windows.select("size").distinct().orderBy("size").collect()]
+    """doc_id, key, item_id and the number of distinct windows they share, for every document and item that share one in
+    any of the forms. Windows are counted in the first form that they share one in."""
+    windows = stored(benchmark_windows(benchmark, window, shortest, forms), "benchmark-windows")
+    sizes = [tuple(row) for row in windows.select("form", "size").distinct().orderBy("form", "size").collect()]
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", document_key().alias("key"), F.col("text").cast("string").alias("text"))
     passed = rows.mapInArrow(
         _document_windows(bitmap(windows, bits), sizes, bits), f"doc_id {kind}, key string, h long"
     )
     # On the document side a hot passage is split by Spark; the other side has each window once.
-    found = stored(passed, "document-windows").join(windows.select("h", "item_id", "n_items"), "h")
-    return found.groupBy("doc_id", "key", "item_id").agg(
+    found = stored(passed, "document-windows").join(windows.select("h", "form", "item_id", "n_items"), "h")
+    each = found.groupBy("doc_id", "key", "item_id", "form").agg(
         F.count("*").alias("n_windows"), F.max("n_items").alias("n_items")
     )
+    return each.groupBy("doc_id", "key", "item_id").agg(
+        F.min_by("n_windows", "form").alias("n_windows"), F.min_by("n_items", "form").alias("n_items")
+    )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that share no window with an item."""
+    """The documents that share no window with an item in any of ``FORMS``, unless ``forms`` are given."""
     document, leak = fresh(docs, "_document", "_leak")
-    found = contaminated(docs, benchmark, **options).select(F.col("key").alias(leak)).distinct()
+    found = contaminated(docs, benchmark, **{"forms": FORMS} | options).select(F.col("key").alias(leak)).distinct()
     keyed = docs.withColumn(document, document_key())
     return keyed.join(found, F.col(document) == F.col(leak), "left_anti").drop(document)
 
 
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, benchmark = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
-    found = contaminated(docs, benchmark)
+    found = contaminated(docs, benchmark, forms=FORMS)
     return found.select("doc_id", "item_id", "n_windows", "n_items")
 
 
