@@ -221,6 +221,17 @@ def test_names_are_found_at_any_place_and_in_any_letters(spark):
     assert found == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)}
 
 
+def test_copies_of_items_full_of_numbers_and_of_short_items_are_found(spark):
+    numbers = "Compute 12 + 7 + 19 + 3 + 8 + 41 + 5 + 6 + 77 + 2 + 9 + 10 + 4."
+    names = "Ada, Alan, Grace, Edsger, Donald, Barbara, John"
+    items = [numbers, names, "name the largest inland sea", "12 * 3", "12, 12"]
+    texts = [
+        f"Work it out. {numbers} Done.", f"The list: {names.lower()}, and more.", "Please name the largest inland sea.",
+        "so 12 * 3 is 36", "1 12 7 and 12 13", numbers.replace("77", "78").replace("8", "9"), "name the largest inland lake", None,
+    ]
+    assert flagged(spark, texts, items, forms=decontamination.FORMS) == {(i, i) for i in range(4)}
+
+
 def test_any_benchmark_size_gives_the_same_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

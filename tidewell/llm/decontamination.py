@@ -6,7 +6,8 @@ canonical words are hashed and joined, so a question asked again with other numb
 
 A name may open a sentence, and a question may be quoted in other letters. So windows are taken in ``FORMS`` on both
 sides, each joined with its own: CANONICAL as above (what ``ORACLE`` says); ANYWHERE, where every capitalised word is a
-NAME, at a sentence start too; LOWER, where no word is one.
+NAME, at a sentence start too; LOWER, where no word is one; PLAIN, where words and numbers all stand for themselves, so copies of items are found
+however many numbers they hold and however short they are.
 
 Slot consistency: a document's window is the benchmark's window with other slot values exactly if one-to-one
 replacement of values leads from one to the other, that is, if the same slots hold equal values on both sides. That
@@ -17,9 +18,9 @@ What a task needs of the benchmark to leave out windows that match nothing is a
 bits), whatever the benchmark's size; what passes it is then joined exactly, on 64-bit hashes. A larger benchmark
 sends more chance hits into the join, never fewer matches.
 
-Defined cases: NULL or blank texts have no windows; an item shorter than a window but of at least ``shortest`` words is
-one window of its length; windows in which fewer than half the words are literals say too little and are left
-out; equal windows of several items are reported under the smallest item_id, and ``item_windows`` lists their members; repeated rows and NULL doc_ids keep their
+Defined cases: NULL or blank texts have no windows; an item shorter than a window but of at least ``shortest`` words (any
+number in PLAIN) is one window of its length; windows in which fewer than half the words are literals say too little for
+other slot values and are left out of the forms with slots; equal windows of several items are reported under the smallest item_id, and ``item_windows`` lists their members; repeated rows and NULL doc_ids keep their
 own rows of the result; empty tables give no row; other columns are ignored, or kept by ``clean_documents``.
 """
 
@@ -49,7 +50,7 @@ SLOT = {"NUMBER": NUMBER, "NAME": NAME, "UNIT": UNIT}
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 # Forms of a text: names inside sentences only, names wherever a capital is, no names, and no slots at all.
 CANONICAL, ANYWHERE, LOWER, PLAIN = range(4)
-FORMS = (CANONICAL, ANYWHERE, LOWER)
+FORMS = (CANONICAL, ANYWHERE, LOWER, PLAIN)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -174,7 +175,7 @@ def _item_windows(window: int, shortest: int, forms: tuple[int, ...]):
                     for r in np.unique(row):
                         own = row == r
                         size = min(window, int(own.sum()))
-                        if size < shortest:
+                        if size < (1 if form == PLAIN else shortest):
                             continue
                         h, enough = _template_hashes(word[own], slot[own], size, form)
                         h = _window_hashes(h, np.flatnonzero(enough), value[own], slot[own], size).view(np.int64)
