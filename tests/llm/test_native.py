@@ -61,6 +61,29 @@ def test_similarity_join_finds_every_block(spark, threshold):
         assert got[i] == (",".join(sorted(best)), round(max(best.values(), default=0.0), 9))
 
 
+def labels_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["labels"] for r in license_scan.scan_licenses(docs).collect()}
+    return [found[i] for i in range(len(texts))]
+
+
+def test_wrapped_notices_are_found(spark):
+    import textwrap
+
+    full = {label: text for label, text in license_scan.TEMPLATES if len(text) > 80}
+    assert {"mit", "bsd", "gpl", "cc0", "apache-2.0"} <= set(full)
+    for width in (30, 50, 72):
+        for lead in ("", "# ", " * "):
+            texts = [textwrap.fill(f"Some words before it. {t}. And some after it.", width, subsequent_indent=lead) for t in full.values()]
+            assert labels_of(spark, texts) == list(full)
+    mit, bsd = full["mit"], full["bsd"]
+    # Broken as the notices are shipped; then in two paragraphs, and scattered over a long one.
+    assert labels_of(spark, [
+        mit.replace("copy of", "copy\nof"), bsd.replace("without modification", "without\r\nmodification"), "All\nrights reserved.",
+        mit.replace("copy of", "copy\n\nof"), bsd.replace(" ", "\n" + "other words " * 4),
+    ]) == ["mit", "bsd", "all-rights-reserved", "", ""]
+
+
 def test_license_scan_of_nothing(no_docs):
     assert license_scan.scan_licenses(no_docs).collect() == []
 

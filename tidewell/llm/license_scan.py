@@ -1,11 +1,12 @@
 r"""License scan: phrases at their places, and an exact set-similarity join with license templates.
 
-The join finds every text block (line) whose words hold at least ``threshold`` of a template's distinct words.
+The join finds every text block whose words hold at least ``threshold`` of a template's distinct words. A block is a line,
+as in ``ORACLE``, or a passage of a paragraph of several lines, so notices that are wrapped are found too.
 Template words are ordered by how many blocks of the whole corpus hold them, rarest first. A block that meets
 the threshold ``need = ceil(threshold * size)`` must hold one of the ``size - need + 1`` rarest words of the
 template (prefix filter), must hold ``need`` template words at all (length filter), and the words from the
 first common one on must be able to make up ``need`` (positional filter). What is left is counted exactly.
-Only DataFrame functions are used, and text is read once.
+Only DataFrame functions are used.
 
 Defined cases: NULL text is empty (no words, no labels, score 0); rows equal in doc_id and text are
 one document and all get its result; NULL doc_id is a value like any other; an empty table gives no
@@ -55,6 +56,9 @@ THRESHOLD = 0.8
 # Fixed value: what lies between two words.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+# Fixed value: what lies between two paragraphs, a line without words.
+PARAGRAPH = r"\n[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n"
+
 
 def no_hits() -> Column:
     return F.array().cast("array<struct<label:string,at:int>>")
@@ -101,8 +105,42 @@ def phrase_hits(ws: Column, phrases: dict[str, str]) -> Column:
     return F.concat(*hits)
 
 
-def scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> DataFrame:
-    """Per document: word count, phrase hits, and of each line the distinct template words."""
+def needed(text: str, threshold: float) -> int:
+    return math.ceil(threshold * len(template_words(text)) - 1e-9)
+
+
+def wrapped_blocks(text: Column, lines: Column, vocabulary: list[str], templates, threshold: float) -> Column:
+    """The distinct template words of each passage in a paragraph of several lines that holds a template. A passage has at
+    most the template's words and a part of others that brings it down to the threshold."""
+    kinds = F.array(*[
+        F.struct(
+            F.array(*map(F.lit, template_words(t))).alias("words"), F.lit(needed(t, threshold)).alias("need"),
+            F.lit(math.ceil(sum(w != "" for w in re.split(GAP, t)) / threshold)).alias("span"),
+        )
+        for _, t in templates
+    ])
+    holds = lambda ws, t: F.size(F.array_intersect(ws, t["words"])) >= t["need"]
+
+    def passages(ws: Column, t: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(ws)), lambda i: F.array_contains(t["words"], F.get(ws, i - 1)))
+        return F.filter(F.transform(starts, lambda i: F.slice(ws, i, t["span"])), lambda part: holds(part, t))
+
+    def of_paragraph(paragraph: Column) -> Column:
+        return let(words(paragraph), lambda ws: F.flatten(
+            F.transform(F.filter(kinds, lambda t: holds(ws, t)), lambda t: passages(ws, t))
+        ))
+
+    paragraphs = F.filter(F.split(text, PARAGRAPH, -1), lambda x: F.contains(x, F.lit("\n")))
+    found = F.transform(F.flatten(F.transform(paragraphs, of_paragraph)), lambda ws: F.array_sort(
+        F.array_distinct(F.filter(ws, lambda w: w.isin(vocabulary)))
+    ))
+    # Most documents do not hold a template's words even all lines together.
+    some = let(F.array_distinct(F.flatten(lines)), lambda ws: F.exists(kinds, lambda t: holds(ws, t)))
+    return F.when((F.size(lines) > 1) & some, F.array_distinct(found)).otherwise(F.array().cast("array<array<string>>"))
+
+
+def scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str], templates, threshold: float) -> DataFrame:
+    """Per document: word count, phrase hits, and of each line and each wrapped passage the distinct template words."""
     text = text_or_empty()
     # A text without some phrase's words in any order of letter case needs no search by position.
     maybe = F.lit(False)
@@ -119,7 +157,8 @@ def scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> Dat
         lambda ws: F.size(ws) > 0,
     )
     rows = docs.select("doc_id", text.alias("text"), row_key().alias("row_key"))
-    return rows.select("doc_id", "row_key", found.alias("f"), lines.alias("blocks")).select(
+    blocks = let(lines, lambda ls: F.concat(ls, wrapped_blocks(F.col("text"), ls, vocabulary, templates, threshold)))
+    return rows.select("doc_id", "row_key", found.alias("f"), blocks.alias("blocks")).select(
         "doc_id", "row_key", "f.*", "blocks"
     )
 
@@ -137,7 +176,7 @@ def template_index(spark: SparkSession, templates, order: list[str], threshold:
     rows = []
     for label, text in templates:
         ordered = sorted(template_words(text), key=place.__getitem__)
-        need = math.ceil(threshold * len(ordered) - 1e-9)
+        need = needed(text, threshold)
         rows += [
             F.struct(
                 F.lit(word).alias("word"), F.lit(label).alias("label"),
@@ -172,7 +211,7 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per document: places of the phrases, labels of phrases and templates, best score."""
     vocabulary = sorted({w for _, text in templates for w in template_words(text)})
-    scanned = stored(scan(docs, phrases, vocabulary), "license-scan")
+    scanned = stored(scan(docs, phrases, vocabulary, templates, threshold), "license-scan")
     blocks = scanned.select("doc_id", "row_key", F.explode("blocks").alias("words"))
     order = word_order(blocks, vocabulary)
     matched = similarity_join(blocks, templates, order, threshold).groupBy("doc_id", "row_key").agg(
