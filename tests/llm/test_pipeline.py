@@ -33,6 +33,11 @@ def test_quality(spark, sf_dir, steps):
             assert (r["doc_id"] in ids) == (r["quality"] == 1)
 
 
+def test_toxic_documents_go(spark, sf_dir, steps):
+    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 and toxic = 1")
+    assert toxic.count() and not steps[1].join(toxic, "doc_id").count()
+
+
 def test_lines(steps):
     rows = steps[1].withColumn("h64", F.xxhash64("text")).collect()
     want = lines_by_force(rows, 10, "first")

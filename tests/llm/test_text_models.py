@@ -226,6 +226,16 @@ def test_good_documents_are_kept_and_poor_ones_go(spark):
     assert share("quality = 1 and toxic = 0") > 0.98 and share("quality = 0") < 0.05
 
 
+def test_well_written_toxic_documents_go(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    shown = F.col("doc_id") % 2 == 0
+    judged = quality_classifier.classify(docs, labels.where(shown)).join(labels, "doc_id")
+    share = lambda where: judged.where(where).agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    assert share(shown & F.expr("quality = 1 and toxic = 1")) < 0.1
+    assert share(~shown & F.expr("quality = 1 and toxic = 1")) < 0.3 and share("quality = 1 and toxic = 0") > 0.98
+
+
 def test_classifier_edge_cases(spark, odd_docs, no_docs):
     labels = spark.createDataFrame(
         [(0, 1, 0), (0, 1, 0), (1, 1, None), (6, 0, 0), (None, 0, 0), (2, None, 0), (8, 0, 1), (7, 1, 0), (7, 0, 0)],

@@ -9,7 +9,11 @@ short ones stay near zero. Sampling without
 replacement in proportion to the weights is a top-k over weight plus Gumbel noise; the noise comes from a digest of the
 document, so the sample is the same on every run.
 
-``k`` is the number of documents whose weight reaches ``cut``, the value that best parts good from other labelled
+The mean weight does not part good documents from well written toxic ones, which differ in a few words. So a second ratio
+is counted in the same way, of toxic text over good text, and documents whose toxic weight is above ``toxic_cut``, the value
+that best parts labelled toxic documents from good ones, are rejected before the sampling.
+
+``k`` is the number of the other documents whose weight reaches ``cut``, the value that best parts good from poor labelled
 documents (the middle of the gap where there is one). The k-th key is found by narrowing histograms, so no task sorts or holds the
 documents.
 
@@ -17,7 +21,7 @@ The raw model counts every document. The target model and the cut are fitted on
 each label, those with the smallest digests of their ids; that bound keeps the broadcast sample small.
 
 Defined cases: NULL or empty text has no n-grams and weight 0; with no document labelled good, or none labelled
-otherwise, nothing is rejected; repeated rows and rows tied at the k-th key share their fate; NULL doc_ids carry no
+poor (toxic), nothing is rejected as poor (toxic); repeated rows and rows tied at the k-th key share their fate; NULL doc_ids carry no
 label; a document labelled more than once is good only if every label says so; an empty table gives no row; other
 columns are ignored by ``weigh`` and kept by ``select_documents``.
 """
@@ -63,17 +67,20 @@ def ngrams(texts: list[str | None], buckets: int = BUCKETS) -> Iterator[tuple[np
 
 
 def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, good) for at most ``max_labelled`` documents of each kind. Good: quality 1 and not toxic."""
+    """(doc_id, good, toxic) for at most ``max_labelled`` documents of each kind. Good: quality 1 and not toxic; toxic: quality 1,
+    but toxic; all others are poor."""
     toxic = F.coalesce("toxic", F.lit(0)) if "toxic" in labels.columns else F.lit(0)
     each = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
-        F.min(((F.col("quality") == 1) & (toxic == 0)).cast("int")).alias("good"), F.min("quality").alias("quality")
+        F.min(((F.col("quality") == 1) & (toxic == 0)).cast("int")).alias("good"),
+        F.min((F.col("quality") == 1).cast("int")).alias("written"),
     )
-    # Neither good nor poor (well written but toxic) teaches nothing.
+
     def some(kind: DataFrame) -> DataFrame:
         return kind.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
 
-    good, poor = each.where("good = 1"), each.where("quality <> 1")
-    return some(good).unionByName(some(poor)).select("doc_id", (F.col("good") == 1).alias("good"))
+    good, bad, poor = each.where("good = 1"), each.where("good = 0 and written = 1"), each.where("written = 0")
+    kinds = some(good).unionByName(some(bad)).unionByName(some(poor))
+    return kinds.select("doc_id", (F.col("good") == 1).alias("good"), ((F.col("good") == 0) & (F.col("written") == 1)).alias("toxic"))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -81,50 +88,60 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _with_labels(rows: DataFrame, sample: DataFrame) -> DataFrame:
-    # At most 2 * max_labelled rows of nine bytes, whatever the size of the tables.
+    # At most 3 * max_labelled rows of ten bytes, whatever the size of the tables.
     return rows.join(F.broadcast(sample), "doc_id", "left")
 
 
-def fit_ratio(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS, errors: float = 2.0) -> np.ndarray:
-    """log(target / raw) by bucket, or zeros where no document is labelled good."""
+def fit_ratios(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS, errors: float = 2.0) -> np.ndarray:
+    """log(target / raw) and log(toxic / target) by bucket, or zeros where no document is labelled good (toxic)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
+        raw, target, toxic = np.zeros((3, buckets), dtype=np.int64)
         for batch in batches:
-            good = np.array([g is True for g in batch["good"].to_pylist()], dtype=bool)
+            good, bad = (np.array([g is True for g in batch[n].to_pylist()], dtype=bool) for n in ("good", "toxic"))
             for at in range(0, batch.num_rows, 1024):
                 part = batch["text"].slice(at, 1024).to_pylist()
                 for row, bucket in ngrams(part, buckets):
                     raw += np.bincount(bucket, minlength=buckets)
                     target += np.bincount(bucket[good[row + at]], minlength=buckets)
+                    toxic += np.bincount(bucket[bad[row + at]], minlength=buckets)
         some = np.flatnonzero(raw)
-        yield pa.record_batch({"bucket": pa.array(some), "raw": pa.array(raw[some]), "target": pa.array(target[some])})
+        yield pa.record_batch({
+            "bucket": pa.array(some), "raw": pa.array(raw[some]), "target": pa.array(target[some]), "toxic": pa.array(toxic[some]),
+        })
 
-    texts = _with_labels(_rows(docs), sample).select("text", "good")
-    counted = texts.mapInArrow(count, "bucket long, raw long, target long")
+    texts = _with_labels(_rows(docs), sample).select("text", "good", "toxic")
+    counted = texts.mapInArrow(count, "bucket long, raw long, target long, toxic long")
     # One row per bucket reaches the driver, however many documents there are.
-    total = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    raw, target = np.zeros(buckets), np.zeros(buckets)
+    total = counted.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in ("raw", "target", "toxic")]).toPandas()
+    raw, target, toxic = np.zeros((3, buckets))
     raw[total["bucket"]] = total["raw"]
     target[total["bucket"]] = total["target"]
-    if not target.sum():
-        return np.zeros(buckets, dtype=np.float32)
-    expected = raw * (target.sum() / raw.sum())
-    ratio = np.log((target + 0.5) / (expected + 0.5))
-    sure = np.maximum(0, np.abs(ratio) - errors / np.sqrt(target + 0.5))
-    return (np.sign(ratio) * sure).astype(np.float32)
-
-
-def log_weights(texts: list[str | None], ratio: np.ndarray) -> np.ndarray:
-    """Each text's log importance weight."""
-    total, size = np.zeros(len(texts)), np.full(len(texts), float(EVEN))
-    for row, bucket in ngrams(texts, len(ratio)):
-        total += np.bincount(row, weights=ratio[bucket].astype(np.float64), minlength=len(texts))
+    toxic[total["bucket"]] = total["toxic"]
+
+    def ratio(some: np.ndarray, others: np.ndarray) -> np.ndarray:
+        if not some.sum() or not others.sum():
+            return np.zeros(buckets, dtype=np.float32)
+        expected = others * (some.sum() / others.sum())
+        log = np.log((some + 0.5) / (expected + 0.5))
+        sure = np.maximum(0, np.abs(log) - errors / np.sqrt(some + 0.5))
+        return (np.sign(log) * sure).astype(np.float32)
+
+    # What toxic texts lack says nothing: they are good ones but for some words.
+    return np.stack([ratio(target, raw), np.maximum(0, ratio(toxic, target))])
+
+
+def log_weights(texts: list[str | None], ratios: np.ndarray) -> np.ndarray:
+    """Each text's log importance weight and toxic weight."""
+    total, size = np.zeros((len(ratios), len(texts))), np.full(len(texts), float(EVEN))
+    for row, bucket in ngrams(texts, ratios.shape[1]):
+        for sums, ratio in zip(total, ratios):
+            sums += np.bincount(row, weights=ratio[bucket].astype(np.float64), minlength=len(texts))
         size += np.bincount(row, minlength=len(texts))
     return LENGTH * total / size
 
 
-def _weighed(rows: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """``rows`` with log_weight in place of text."""
+def _weighed(rows: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """``rows`` with log_weight and toxic_weight in place of text."""
     kept = rows.drop("text").schema
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,10 +149,10 @@ def _weighed(rows: DataFrame, ratio: np.ndarray) -> DataFrame:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 columns = {n: part[n] for n in kept.fieldNames()}
-                columns["log_weight"] = pa.array(log_weights(part["text"].to_pylist(), ratio))
+                columns["log_weight"], columns["toxic_weight"] = map(pa.array, log_weights(part["text"].to_pylist(), ratios))
                 yield pa.record_batch(columns)
 
-    return rows.mapInArrow(of_batches, extended(kept, "log_weight double"))
+    return rows.mapInArrow(of_batches, extended(kept, "log_weight double, toxic_weight double"))
 
 
 def gumbel(key: Column, seed: int = SEED) -> Column:
@@ -182,34 +199,40 @@ def best_cut(good: np.ndarray, poor: np.ndarray) -> float:
 
 @dataclass(frozen=True)
 class Classifier:
-    """What is fitted: the log ratio by bucket, the cut, and the k-th largest key."""
+    """What is fitted: the log ratios by bucket, the cuts, and the k-th largest key."""
 
-    ratio: np.ndarray
+    ratios: np.ndarray
     cut: float
+    toxic_cut: float
     threshold: float
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS) -> tuple[Classifier, DataFrame]:
-    """The classifier, and doc_id, key, log_weight and sample_key of every document."""
+    """The classifier, and doc_id, key, log_weight, toxic_weight and sample_key of every document."""
     sample = stored(labelled_sample(labels, max_labelled), "quality-sample")
-    ratio = fit_ratio(docs, sample, buckets)
-    rows = _with_labels(_rows(docs), sample).select("doc_id", "key", "good", "text")
-    weighed = _weighed(rows, ratio)
+    ratios = fit_ratios(docs, sample, buckets)
+    rows = _with_labels(_rows(docs), sample).select("doc_id", "key", "good", "toxic", "text")
+    weighed = _weighed(rows, ratios)
     weighed = stored(weighed.withColumn("sample_key", F.col("log_weight") + gumbel(F.col("key"))), "quality-weights")
     # A row per labelled document of the sample, however often the table repeats it.
     known = weighed.where("good is not null").groupBy("doc_id").agg(
-        F.max("good").alias("good"), F.avg("log_weight").alias("log_weight")
+        F.max("good").alias("good"), F.max("toxic").alias("toxic"),
+        F.avg("log_weight").alias("log_weight"), F.avg("toxic_weight").alias("toxic_weight"),
     ).toPandas()
-    cut = best_cut(*(known.loc[known["good"] == g, "log_weight"].to_numpy() for g in (True, False)))
-    k = weighed.where(F.col("log_weight") >= cut).count()
-    threshold = kth_largest(weighed, "sample_key", k) if k else float("inf")
-    return Classifier(ratio, cut, threshold), weighed.drop("good")
+    good, toxic = known["good"].astype(bool), known["toxic"].astype(bool)
+    cut = best_cut(*(known.loc[kind, "log_weight"].to_numpy() for kind in (good, ~good & ~toxic)))
+    toxic_cut = -best_cut(*(-known.loc[kind, "toxic_weight"].to_numpy() for kind in (good, toxic)))
+    rest = weighed.where(F.col("toxic_weight") <= toxic_cut)
+    k = rest.where(F.col("log_weight") >= cut).count()
+    threshold = kth_largest(rest, "sample_key", k) if k else float("inf")
+    return Classifier(ratios, cut, toxic_cut, threshold), weighed.drop("good", "toxic")
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, log_weight, sample_key and kept of every document."""
     model, weighed = fit(docs, labels, **options)
-    return weighed.select("doc_id", "log_weight", "sample_key", (F.col("sample_key") >= model.threshold).alias("kept"))
+    kept = (F.col("sample_key") >= model.threshold) & (F.col("toxic_weight") <= model.toxic_cut)
+    return weighed.select("doc_id", "log_weight", "sample_key", kept.alias("kept"))
 
 
 def select_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -222,8 +245,9 @@ def select_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                keys = log_weights(part["text"].to_pylist(), model.ratio) + part[noise].to_numpy()
-                yield part.select(schema.fieldNames()).filter(pa.array(keys >= model.threshold))
+                weight, toxic = log_weights(part["text"].to_pylist(), model.ratios)
+                kept = (weight + part[noise].to_numpy() >= model.threshold) & (toxic <= model.toxic_cut)
+                yield part.select(schema.fieldNames()).filter(pa.array(kept))
 
     return docs.withColumn(noise, gumbel(document_key())).mapInArrow(chosen, schema)
 
