@@ -84,6 +84,25 @@ def test_wrapped_notices_are_found(spark):
     ]) == ["mit", "bsd", "all-rights-reserved", "", ""]
 
 
+def test_neighbouring_licenses_are_not_taken_for_one_another(spark):
+    own = {text: label for label, text in license_scan.TEMPLATES}
+    found = dict(zip(own, (set(x.split(",")) for x in labels_of(spark, list(own)))))
+    assert all(label in found[text] for text, label in own.items())
+    others = [
+        "Released under the Apache License", "Released under the BSD License", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.",
+        "Licensed under CC BY-NC-SA 4.0", "Licensed under CC BY-NC 3.0", "Licensed under the Apache License, Version 1.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3",
+        "This work is licensed under the GNU General Public License, version 2",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+        "This Source Code Form is subject to the terms of the Eclipse Public License",
+        "This is free software and released into the public domain",
+    ]
+    base = ["apache", "", "cc-by", "cc-by", "cc-by", "cc-by", "apache", "", "gpl", "", "", ""]
+    assert labels_of(spark, others) == base
+    wordings = ["Licensed under the Creative Commons BY-NC 4.0", "This work is licensed under the GNU General Public License v3"]
+    assert labels_of(spark, wordings) == ["cc-by-nc-4.0", "gpl,gpl-3.0"]
+
+
 def test_license_scan_of_nothing(no_docs):
     assert license_scan.scan_licenses(no_docs).collect() == []
 

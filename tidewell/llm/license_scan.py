@@ -5,7 +5,8 @@ as in ``ORACLE``, or a passage of a paragraph of several lines, so notices that
 Template words are ordered by how many blocks of the whole corpus hold them, rarest first. A block that meets
 the threshold ``need = ceil(threshold * size)`` must hold one of the ``size - need + 1`` rarest words of the
 template (prefix filter), must hold ``need`` template words at all (length filter), and the words from the
-first common one on must be able to make up ``need`` (positional filter). What is left is counted exactly.
+first common one on must be able to make up ``need`` (positional filter). What is left is counted exactly, and
+must say what names the license (``REQUIRED``), which ``ORACLE`` does not ask for.
 Only DataFrame functions are used.
 
 Defined cases: NULL text is empty (no words, no labels, score 0); rows equal in doc_id and text are
@@ -53,6 +54,28 @@ TEMPLATES = [
     ("all-rights-reserved", "All rights reserved"),
 ]
 THRESHOLD = 0.8
+# What a block must say, words side by side, for a template's label: of each group one. Templates by their text.
+REQUIRED = {
+    "Licensed under the Apache License, Version 2.0": [["apache"], ["2"]],
+    "Released under the MIT License": [["mit"]],
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+    "and associated documentation files": [["associated"]],
+    "This work is licensed under the GNU General Public License, version 3": [
+        ["gnu general public license", "gnu gpl"], ["3", "v3"],
+    ],
+    "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU General Public License as published by the Free Software Foundation": [["gnu general public license", "gnu gpl"]],
+    "Licensed under CC BY-NC 4.0": [
+        [f"by {nc} {by}" for nc in ("nc", "noncommercial", "non commercial")
+         for by in ("4", "v4", "version 4", "license 4", "license version 4", "international 4")],
+    ],
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": [
+        [f"{name} {by}" for name in ("attribution", "by")
+         for by in ("4", "v4", "version 4", "license 4", "license version 4", "international 4", "international license 4")],
+    ],
+    "This Source Code Form is subject to the terms of the Mozilla Public License": [["mozilla"]],
+    "This is free and unencumbered software released into the public domain": [["unencumbered"]],
+}
 # Fixed value: what lies between two words.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -109,8 +132,22 @@ def needed(text: str, threshold: float) -> int:
     return math.ceil(threshold * len(template_words(text)) - 1e-9)
 
 
-def wrapped_blocks(text: Column, lines: Column, vocabulary: list[str], templates, threshold: float) -> Column:
-    """The distinct template words of each passage in a paragraph of several lines that holds a template. A passage has at
+def block(ws: Column, vocabulary: list[str], names: list[str], least: int) -> Column:
+    """The distinct template words among a block's words, and the names it says if it can hold a template at all."""
+    said = lambda: let(
+        F.concat(F.lit(" "), F.array_join(ws, " "), F.lit(" ")),
+        lambda x: F.filter(F.array(*map(F.lit, names)), lambda n: F.contains(x, F.concat(F.lit(" "), n, F.lit(" ")))),
+    )
+    none = F.array().cast("array<string>")
+    return let(F.array_distinct(F.filter(ws, lambda w: w.isin(vocabulary))), lambda held: F.struct(
+        held.alias("words"), (F.when(F.size(held) >= least, said()).otherwise(none) if names else none).alias("names")
+    ))
+
+
+def wrapped_blocks(
+    text: Column, lines: Column, vocabulary: list[str], names: list[str], least: int, templates, threshold: float
+) -> Column:
+    """``block`` of each passage in a paragraph of several lines that holds a template. A passage has at
     most the template's words and a part of others that brings it down to the threshold."""
     kinds = F.array(*[
         F.struct(
@@ -131,12 +168,12 @@ def wrapped_blocks(text: Column, lines: Column, vocabulary: list[str], templates
         ))
 
     paragraphs = F.filter(F.split(text, PARAGRAPH, -1), lambda x: F.contains(x, F.lit("\n")))
-    found = F.transform(F.flatten(F.transform(paragraphs, of_paragraph)), lambda ws: F.array_sort(
-        F.array_distinct(F.filter(ws, lambda w: w.isin(vocabulary)))
-    ))
+    found = F.transform(F.flatten(F.transform(paragraphs, of_paragraph)), lambda ws: block(ws, vocabulary, names, least))
     # Most documents do not hold a template's words even all lines together.
-    some = let(F.array_distinct(F.flatten(lines)), lambda ws: F.exists(kinds, lambda t: holds(ws, t)))
-    return F.when((F.size(lines) > 1) & some, F.array_distinct(found)).otherwise(F.array().cast("array<array<string>>"))
+    some = let(F.array_distinct(F.flatten(lines["words"])), lambda ws: F.exists(kinds, lambda t: holds(ws, t)))
+    return F.when((F.size(lines) > 1) & some, F.array_distinct(found)).otherwise(
+        F.array().cast("array<struct<words:array<string>,names:array<string>>>")
+    )
 
 
 def scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str], templates, threshold: float) -> DataFrame:
@@ -150,14 +187,18 @@ def scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str], templa
         F.size(ws).cast("long").alias("n_words"),
         F.when(maybe, phrase_hits(ws, phrases)).otherwise(no_hits()).alias("hits"),
     ))
+    names = sorted({n for _, t in templates for group in REQUIRED.get(t, []) for n in group})
+    least = min((needed(t, threshold) for _, t in templates), default=1)
     lines = F.filter(
-        F.transform(F.split("text", "\n", -1), lambda line: F.array_distinct(
-            F.filter(F.split(lowered(line), GAP, -1), lambda w: w.isin(vocabulary))
+        F.transform(F.split("text", "\n", -1), lambda line: let(
+            F.split(lowered(line), GAP, -1), lambda ws: block(ws, vocabulary, names, least)
         )),
-        lambda ws: F.size(ws) > 0,
+        lambda b: F.size(b["words"]) > 0,
     )
     rows = docs.select("doc_id", text.alias("text"), row_key().alias("row_key"))
-    blocks = let(lines, lambda ls: F.concat(ls, wrapped_blocks(F.col("text"), ls, vocabulary, templates, threshold)))
+    blocks = let(lines, lambda ls: F.concat(ls, wrapped_blocks(
+        F.col("text"), ls, vocabulary, names, least, templates, threshold
+    )))
     return rows.select("doc_id", "row_key", found.alias("f"), blocks.alias("blocks")).select(
         "doc_id", "row_key", "f.*", "blocks"
     )
@@ -181,6 +222,8 @@ def template_index(spark: SparkSession, templates, order: list[str], threshold:
             F.struct(
                 F.lit(word).alias("word"), F.lit(label).alias("label"),
                 F.array(*map(F.lit, ordered)).alias("template_words"), F.lit(need).alias("need"), F.lit(i).alias("i"),
+                F.array(*[F.array(*map(F.lit, group)) for group in REQUIRED.get(text, [])])
+                .cast("array<array<string>>").alias("required"),
             )
             for i, word in enumerate(ordered[: len(ordered) - need + 1])
         ]
@@ -190,7 +233,7 @@ def template_index(spark: SparkSession, templates, order: list[str], threshold:
 def similarity_join(blocks: DataFrame, templates, order: list[str], threshold: float) -> DataFrame:
     """(doc_id, row_key, label, containment) of every block that holds ``threshold`` of a template."""
     index = template_index(blocks.sparkSession, templates, order, threshold)
-    probes = blocks.select("doc_id", "row_key", "words", F.explode("words").alias("word"))
+    probes = blocks.select("doc_id", "row_key", "words", "names", F.explode("words").alias("word"))
     pairs = probes.join(F.broadcast(index), "word").where(F.size("words") >= F.col("need"))
     t, w = F.col("template_words"), F.col("words")
     first = ~F.exists(F.slice(t, F.lit(1), F.col("i")), lambda x: F.array_contains(w, x))
@@ -202,6 +245,7 @@ def similarity_join(blocks: DataFrame, templates, order: list[str], threshold: f
     return (
         pairs.where(first).where(reachable >= F.col("need"))
         .withColumn("held", held).where(F.col("held") >= F.col("need"))
+        .where(F.forall("required", lambda group: F.arrays_overlap(group, F.col("names"))))
         .select("doc_id", "row_key", "label", (F.col("held") / F.size(t)).alias("containment"))
     )
 
@@ -212,7 +256,7 @@ def scan_licenses(
     """One row per document: places of the phrases, labels of phrases and templates, best score."""
     vocabulary = sorted({w for _, text in templates for w in template_words(text)})
     scanned = stored(scan(docs, phrases, vocabulary, templates, threshold), "license-scan")
-    blocks = scanned.select("doc_id", "row_key", F.explode("blocks").alias("words"))
+    blocks = scanned.select("doc_id", "row_key", F.explode("blocks").alias("b")).select("doc_id", "row_key", "b.*")
     order = word_order(blocks, vocabulary)
     matched = similarity_join(blocks, templates, order, threshold).groupBy("doc_id", "row_key").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("containment")
