@@ -14,6 +14,8 @@ MODULES = {
     "op7_benchmark_decontamination": "decontamination",
     "op8_bpe_round_trip": "bpe",
     "op9_chat_formatting": "chat_format",
+    "op11_best_fit_packing": "packing",
+    "op13_merkle_manifest": "merkle",
 }
 
 
