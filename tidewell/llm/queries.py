@@ -15,6 +15,7 @@ MODULES = {
     "op8_bpe_round_trip": "bpe",
     "op9_chat_formatting": "chat_format",
     "op11_best_fit_packing": "packing",
+    "op12_phrase_collocations": "collocations",
     "op13_merkle_manifest": "merkle",
 }
 
