@@ -1,12 +1,15 @@
+from dataclasses import replace
 from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators import ledger, merge
 from tidewell.registry import DIVIDENDS
 from tidewell.schemas import SILVER
-from tidewell.sinks import write_partitioned
+from tidewell.sinks import write_bucketed, write_partitioned
 
 KEYS = list(DIVIDENDS.key)
 
@@ -77,8 +80,6 @@ def test_latest_refuses_key_columns(spark):
 
 
 def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
-    from pyspark.sql import functions as F
-
     many = spark.range(0, 200_000, 1, 16).select(
         F.sha2(F.col("id").cast("string"), 256).alias("symbol"), F.lit(D1).alias("market_dt")
     )
@@ -104,3 +105,72 @@ def test_ledger_enters_a_batch_once(spark, tmp_path):
     assert got.count() == 2 and {r["load_status"] for r in got.collect()} == {"WAITING"}
     assert ledger.ledger_lookup(got, "dividends", D2).count() == 1
     assert ledger.new_batches(batches, got).count() == 0
+
+
+def test_a_bucketed_target_is_merged_without_a_shuffle(spark, tmp_path):
+    day = lambda df: df.withColumn("day", F.dayofmonth("market_dt"))
+    cat = replace(DIVIDENDS, output=T.StructType([*SILVER.fields, T.StructField("day", T.IntegerType())]), partition="day")
+    target = day(rows(spark, *((f"S{i}", D1 if i % 2 else D2, float(i)) for i in range(400)), ("Z", D3, 1.0)))
+    path = str(tmp_path / "buckets")
+    write_bucketed(target, "merge_target", path, KEYS, 4, ["day"])
+    names = lambda d: sorted(p.name for p in Path(path, f"day={d.day}").glob("*.parquet"))
+    before = names(D1), names(D3)
+    staging = day(rows(spark, ("S1", D1, -1.0), ("S3", D1, -3.0), ("NEW", D1, 5.0), ("T", None, 1.0), (None, D2, 1.0)))
+    table = spark.read.table("merge_target")
+
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = merge.bucketed_join(merge.affected_slice(table, staging, "day"), staging, KEYS, 4)
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line)
+    # From the scan up to the join there is no exchange; the only one deals out staging.
+    join = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert join < scan and not any("Exchange" in line for line in plan[join:scan]) and "Bucketed: true" in plan[scan]
+    assert sum("Exchange" in line for line in plan) == 1
+
+    wanted = {(r.symbol, r.market_dt): r.dividend_ratio for r in target.collect()} | {("S1", D1): -1.0, ("S3", D1): -3.0, ("NEW", D1): 5.0}
+    for expected in (merge.MergeResult(1, 2, 2), merge.MergeResult(0, 3, 2)):
+        assert merge.merge_into_bucketed(spark, "merge_target", staging, cat, 4) == expected
+        found = spark.read.table("merge_target").collect()
+        assert {(r.symbol, r.market_dt): r.dividend_ratio for r in found} == wanted and len(found) == len(wanted)
+    assert names(D1) != before[0] and names(D3) == before[1]
+    # Still a table of 4 buckets: each file is of the bucket its name says.
+    assert {p.split("_")[1].split(".")[0] for p in names(D1)} <= {f"{i:05d}" for i in range(4)}
+    spark.sql("drop table merge_target")
+
+
+def test_a_new_column_reads_as_null_in_old_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = rows(spark, ("A", D1, 1.0), ("B", D2, 1.0)).withColumn("record_dt", F.lit(D3))
+    write_partitioned(old, path, ["market_dt"], ["symbol"])
+    names = lambda d: sorted(p.name for p in Path(path, f"market_dt={d}").glob("*.parquet"))
+    before = names(D1), names(D2)
+    staging = rows(spark, ("B", D2, 2.0), ("C", D2, 3.0)).drop("record_dt").withColumn("currency", F.lit("EUR"))
+    cat = merge.evolved(DIVIDENDS, staging.schema)
+    assert cat.columns == [*DIVIDENDS.columns, "currency"] and merge.evolved(cat, staging.schema) == cat
+    merge.merge_into_path(spark, path, staging, cat)
+    read = lambda: {tuple(r) for r in spark.read.schema(cat.output).parquet(path).select("symbol", "dividend_ratio", "record_dt", "currency").collect()}
+    # What staging lacks stays as it was, and is NULL in new rows.
+    assert read() == {("A", 1.0, D3, None), ("B", 2.0, D3, "EUR"), ("C", 3.0, None, "EUR")}
+    assert names(D1) == before[0] and names(D2) != before[1]
+    merge.merge_into_path(spark, path, rows(spark, ("A", D1, 9.0)), cat)
+    assert ("A", 9.0, None, None) in read()
+    with pytest.raises(ValueError, match="dividend_ratio"):
+        merge.evolved(DIVIDENDS, staging.withColumn("dividend_ratio", F.lit("x")).schema)
+
+
+def test_a_run_starts_now_in_utc(spark, tmp_path):
+    from datetime import datetime, timedelta, timezone
+
+    path = str(tmp_path / "ledger")
+    batches = spark.createDataFrame([("dividends", D1, D1, D3)], "data_cat string, batch_dt date, start_dt date, end_dt date")
+    before = datetime.now(timezone.utc)
+    ledger.insert_waiting(spark, path, batches)
+    after = datetime.now(timezone.utc)
+    # Seconds since the epoch: no time zone of any session or machine is in it.
+    at = ledger.read_ledger(spark, path).selectExpr("unix_micros(start_time) as t", "date_format(start_time, 'yyyy-MM-dd HH') as h").first()
+    started = datetime.fromtimestamp(at.t / 1e6, timezone.utc)
+    assert before - timedelta(seconds=1) <= started <= after and at.h == f"{started:%Y-%m-%d %H}"

@@ -26,7 +26,7 @@ def drop_missing_essentials(records: DataFrame, cat: Category) -> DataFrame:
 
 
 def fill_defaults(records: DataFrame, cat: Category) -> DataFrame:
-    return records.fillna(cat.defaults)
+    return records.fillna(cat.defaults) if cat.defaults else records
 
 
 def cast_dates(records: DataFrame, cat: Category) -> DataFrame:

@@ -11,14 +11,16 @@ onto a restored copy. A lost executor only repeats its tasks.
 """
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.registry import Category
 from tidewell.sinks import replace_partitions, write_rejects
-from tidewell.sources import read_table_or_none, stored
+from tidewell.scratch import stored
+from tidewell.sources import read_table_or_none
 
 
 @dataclass(frozen=True)
@@ -59,18 +61,21 @@ def duplicate_keys(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
 def joined(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target and staging met once on the key: the merged row's columns, ``_staged`` and ``_existing``.
 
-    A key staged twice fails the job where the row is made, before anything is committed.
+    A key staged twice fails the job where the row is made, before anything is committed. Columns that staging lacks keep what the
+    target has.
     """
     rest = [c for c in target.columns if c not in keys]
+    given = [c for c in rest if c in staging.columns]
     whole, _ = split_null_keys(staging, keys)
-    staged = whole.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.struct(*rest)).alias("_new"))
+    staged = whole.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.struct(F.lit(0).alias("_"), *given)).alias("_new"))
     message = F.concat(F.lit("staged more than once: "), F.to_json(F.struct(*keys)))
     once = staged.select(*keys, F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_new")).alias("_new"))
-    existing = target.select(*keys, F.struct(*rest).alias("_old"))
+    existing = target.select(*keys, F.struct(F.lit(0).alias("_"), *rest).alias("_old"))
     both = existing.join(once, list(keys), "full_outer")
-    row = F.coalesce("_new", "_old")
+    staged_row, old_row = F.col("_new"), F.col("_old")
+    value = {c: F.when(staged_row.isNotNull(), staged_row[c]).otherwise(old_row[c]) if c in given else old_row[c] for c in rest}
     return both.select(
-        *keys, *[row[c].alias(c) for c in rest],
+        *keys, *[value[c].alias(c) for c in rest],
         F.col("_new").isNotNull().alias("_staged"), F.col("_old").isNotNull().alias("_existing"),
     )
 
@@ -119,6 +124,45 @@ def affected_slice(target: DataFrame, staging: DataFrame, partition: str) -> Dat
     return target.where(F.col(partition).isin(touched))
 
 
+def evolved(cat: Category, staging: T.StructType) -> Category:
+    """The category with the columns that staging brings beyond it, at the end of its output. Merge with it, and keep it: files written
+    before the merge read such a column as NULL, and partitions that no staged row falls in are not rewritten. A column that
+    changes its type is refused."""
+    known = {f.name: f for f in cat.output}
+    for field in staging:
+        if field.name in known and field.dataType != known[field.name].dataType:
+            raise ValueError(f"{field.name} is {known[field.name].dataType.simpleString()}, staged as {field.dataType.simpleString()}")
+    new = [T.StructField(f.name, f.dataType) for f in staging if f.name not in known]
+    return replace(cat, output=T.StructType([*cat.output.fields, *new]))
+
+
+def merge_into_bucketed(spark: SparkSession, table: str, staging: DataFrame, cat: Category, buckets: int) -> MergeResult:
+    """Merge staging into a table that ``write_bucketed`` made with as many ``buckets`` on the category's key. Staging is dealt out to
+    the table's buckets, so the table itself is read where it lies, without a shuffle; only touched partitions are read and
+    rewritten. Rows with a NULL key part are counted and left out."""
+    keys = list(cat.key)
+    staging = stored(staging.select(*cat.columns), "merge-staging")
+    whole, rejects = split_null_keys(staging, keys)
+    target = spark.read.table(table)
+    written = Observation("merge")
+    merged = bucketed_join(affected_slice(target, whole, cat.partition), whole, keys, buckets).observe(written, *_counts())
+    # The order of the table's own columns, its partition last; its buckets are those the rows are in.
+    rows = merged.select(*target.columns).sortWithinPartitions(cat.partition, *keys)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    return MergeResult(written.get["inserted"], written.get["updated"], rejects.count())
+
+
+def bucketed_join(target: DataFrame, staging: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``joined`` with staging dealt out like the target's buckets."""
+    return joined(target, staging.repartition(buckets, *keys), keys)
+
+
 def merge_into_path(
     spark: SparkSession,
     path: str,
@@ -131,7 +175,7 @@ def merge_into_path(
     """Merge staging into the parquet table at ``path`` and rewrite only touched partitions.
 
     ``on_duplicate`` is ``"error"``, which fails before anything is committed, or ``"latest"``, which keeps one row
-    per key. Rows with a NULL key part are counted and, with ``rejects_path``, appended there.
+    per key. Columns are taken by name; one that staging lacks keeps what the target has, or is NULL in an inserted row. Rows with a NULL key part are counted and, with ``rejects_path``, appended there.
     """
     keys = list(cat.key)
     if on_duplicate == "latest":
@@ -139,7 +183,7 @@ def merge_into_path(
     elif on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     # Read for the partition list, the rejects and the write, so computed once.
-    staging = stored(staging.select(*cat.columns), "merge-staging")
+    staging = stored(staging.select(*[c for c in cat.columns if c in staging.columns]), "merge-staging")
     whole, rejects = split_null_keys(staging, keys)
     rejected = rejects.count()
     if rejected and rejects_path:

@@ -43,5 +43,6 @@ def unsupported_category(
 ) -> DataFrame:
     """The other rows, a NULL category among them, each with its reason."""
     supported = F.coalesce(F.col(column).isin(*names), F.lit(False))
+    # Fixed value: the wording of the reason.
     reason = F.concat(F.lit("Unsupported data category: "), F.coalesce(F.col(column), F.lit("")))
     return rows.where(~supported).withColumn("reason", reason)

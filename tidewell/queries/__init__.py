@@ -1,8 +1,8 @@
 """Registered queries: each operator applied to whole given tables, with SQL that says the same."""
 
-from tidewell.queries import cleansing, landing, ledger, merging, requests
+from tidewell.queries import cleansing, documents, landing, layout, ledger, merging, requests
 
-GROUPS = (cleansing, requests, merging, landing, ledger)
+GROUPS = (cleansing, requests, merging, landing, documents, layout, ledger)
 
 
 def queries() -> dict:

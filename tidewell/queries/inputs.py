@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.scratch import stored
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -71,6 +73,8 @@ def merge_sides(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
     one = cleaned.where("market_dt is not null").groupBy("symbol", "market_dt").agg(
         F.max("dividend_ratio").alias("dividend_ratio"), *[F.max(c).alias(c) for c in rest]
     )
+    # Both sides are made of it.
+    one = stored(one, "merge-fixture")
     staging = one.where("market_dt >= date'2001-01-01'").withColumn("dividend_ratio", F.col("dividend_ratio") * 2)
     return one.where("market_dt < date'2001-03-01'"), staging
 

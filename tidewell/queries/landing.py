@@ -9,7 +9,8 @@ from tidewell.queries.inputs import FIELDS, RAW, USER_DAYS, envelopes, user_days
 from tidewell.registry import DIVIDENDS
 from tidewell.schemas import SILVER
 from tidewell.sinks import land_envelopes, split_documents, write_partitioned
-from tidewell.sources import load_staging, read_batch, read_landed, scratch_dir
+from tidewell.scratch import scratch_dir
+from tidewell.sources import load_staging, read_batch, read_landed
 from tidewell.sources.batches import batch_location
 
 ORDER = ["symbol", "market_dt"]

@@ -1,12 +1,15 @@
 """The keyed upsert, by part and as a real write."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators import cleanse, merge
 from tidewell.queries.inputs import CLEAN, MERGE, envelopes, merge_sides
 from tidewell.registry import DIVIDENDS
-from tidewell.sinks import write_partitioned
-from tidewell.sources.scratch import scratch_dir
+from tidewell.scratch import scratch_dir
+from tidewell.sinks import write_bucketed, write_partitioned
 
 KEYS = list(DIVIDENDS.key)
 
@@ -24,15 +27,15 @@ def _on_sides(operator):
     return lambda spark, sf_dir: operator(*merge_sides(_clean(spark, sf_dir)), KEYS)
 
 
-def _merged(spark, sf_dir):
-    """Write the target, merge staging into it, and give the path and the result."""
-    from dataclasses import replace
+#: The category with its target by month.
+MONTHLY = replace(DIVIDENDS, output=T.StructType([*DIVIDENDS.output.fields, T.StructField("month", T.DateType())]), partition="month")
+BUCKETS = 8
 
-    from pyspark.sql import types as T
 
-    target, staging = map(_by_month, merge_sides(_clean(spark, sf_dir)))
-    cat = replace(DIVIDENDS, output=T.StructType([*DIVIDENDS.output.fields, T.StructField("month", T.DateType())]),
-                  partition="month")
+def _merged(spark, sf_dir, sides=None):
+    """Write the target, merge staging into it, and give the path and the result."""
+    target, staging = map(_by_month, sides or merge_sides(_clean(spark, sf_dir)))
+    cat = MONTHLY
     path = scratch_dir(spark, "merge-target")
     write_partitioned(target, path, ["month"], ["symbol", "market_dt"])
     return path, cat, merge.merge_into_path(spark, path, staging, cat)
@@ -44,14 +47,35 @@ def merge_upsert(spark, sf_dir):
 
 
 def merge_metrics(spark, sf_dir):
-    _, cat, result = _merged(spark, sf_dir)
     target, staging = merge_sides(_clean(spark, sf_dir))
+    _, _, result = _merged(spark, sf_dir, (target, staging))
     # The write's own counts beside those of the tables.
     return merge.merge_metrics(target, staging, KEYS).withColumns({
         "written_inserted": F.lit(result.inserted).cast("long"), "written_updated": F.lit(result.updated).cast("long"),
     })
 
 
+def merge_bucketed(spark, sf_dir):
+    """The same merge into a table bucketed on the key, which is read without a shuffle."""
+    target, staging = map(_by_month, merge_sides(_clean(spark, sf_dir)))
+    path = scratch_dir(spark, "merge-buckets")
+    table = f"merge_{path.rsplit('-', 1)[1]}"
+    write_bucketed(target, table, path, KEYS, BUCKETS, ["month"])
+    merge.merge_into_bucketed(spark, table, staging, MONTHLY, BUCKETS)
+    return spark.read.table(table).select(*DIVIDENDS.columns)
+
+
+def merge_new_column(spark, sf_dir):
+    """Staging brings a column, and lacks another; the target's files have the old columns."""
+    target, staging = map(_by_month, merge_sides(_clean(spark, sf_dir)))
+    path = scratch_dir(spark, "merge-evolved")
+    write_partitioned(target, path, ["month"], ["symbol", "market_dt"])
+    staging = staging.withColumn("currency", F.concat(F.lit("C"), F.substring("symbol", 5, 1))).drop("record_dt")
+    cat = merge.evolved(MONTHLY, staging.schema)
+    merge.merge_into_path(spark, path, staging, cat)
+    return spark.read.schema(cat.output).parquet(path).select(*DIVIDENDS.columns, "currency")
+
+
 def merge_duplicate_keys(spark, sf_dir):
     return merge.duplicate_keys(_clean(spark, sf_dir), KEYS)
 
@@ -65,6 +89,14 @@ UPSERT = f"""with {MERGE} select * from staging union all
 
 QUERIES = {
     "merge_upsert": (merge_upsert, UPSERT),
+    "merge_bucketed": (merge_bucketed, UPSERT),
+    "merge_new_column": (
+        merge_new_column,
+        f"""with {MERGE} select s.* replace (t.record_dt as record_dt), 'C' || substr(s.symbol, 5, 1) as currency
+  from staging s left join target t using (symbol, market_dt)
+union all select t.*, null from target t
+  where not exists (select 1 from staging s where s.symbol = t.symbol and s.market_dt = t.market_dt)""",
+    ),
     "merge_upsert_rows": (_on_sides(merge.upsert), UPSERT),
     "merge_matched": (_on_sides(merge.matched), f"with {MERGE} select s.* from staging s join target t using (symbol, market_dt)"),
     "merge_not_matched": (

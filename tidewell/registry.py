@@ -48,6 +48,25 @@ DIVIDENDS = Category(
     partition="market_dt",
 )
 
+#: A second category: stock splits. Supported where a caller asks for it.
+SPLITS = Category(
+    name="splits",
+    record=T.StructType([
+        T.StructField("symbol", T.StringType()), T.StructField("date", T.StringType()),
+        T.StructField("from", T.DoubleType()), T.StructField("to", T.DoubleType()), T.StructField("kind", T.StringType()),
+    ]),
+    output=T.StructType([
+        T.StructField("symbol", T.StringType()), T.StructField("market_dt", T.DateType()),
+        T.StructField("ratio_from", T.DoubleType()), T.StructField("ratio_to", T.DoubleType()), T.StructField("kind", T.StringType()),
+    ]),
+    renames={"date": "market_dt", "from": "ratio_from", "to": "ratio_to"},
+    essentials=("symbol", "market_dt", "ratio_to"),
+    defaults={"kind": "Unknown"},
+    dates=("market_dt",),
+    key=("symbol", "market_dt"),
+    partition="market_dt",
+)
+
 CATEGORIES = {c.name: c for c in (DIVIDENDS,)}
 
 

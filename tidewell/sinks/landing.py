@@ -1,6 +1,6 @@
 """Raw documents to JSON Lines, and the ones that do not parse to a rejects table."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.calendar import compact_date
@@ -17,6 +17,14 @@ def land_envelopes(envelopes: DataFrame, root: str, batch: str = "batch_dt", mod
     return root
 
 
+def land_batches(envelopes: DataFrame, root: str, stem: Column, batch: str = "batch_dt", mode: str = "append") -> str:
+    """Land documents under ``<root>/batch_date=YYYYMMDD/batch_key=<stem>``, so each file's path says which request it answers;
+    ``read_with_lineage`` reads it back."""
+    rows = envelopes.withColumns({"batch_date": compact_date(F.col(batch)), "batch_key": stem}).drop(batch, CORRUPT)
+    rows.hint("rebalance", "batch_date", "batch_key").write.partitionBy("batch_date", "batch_key").mode(mode).json(root)
+    return root
+
+
 def split_documents(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents that parsed, documents that did not, with their text). Parsed plus corrupt is the input. Documents are
     parsed once and stored, so both sides can be read alone: Spark refuses a file query on the corrupt column only."""

@@ -7,7 +7,7 @@ from tidewell.schemas import CORRUPT, envelope_schema
 from tidewell.sources.batches import read_batches
 
 
-def _options(multi_line: bool) -> dict[str, str]:
+def json_options(multi_line: bool) -> dict[str, str]:
     return {
         "multiLine": str(multi_line).lower(),
         "mode": "PERMISSIVE",
@@ -24,11 +24,11 @@ def read_envelopes(spark: SparkSession, path: str, cat: Category, multi_line: bo
     read by a single task; land one document per line where you can choose.
     """
     schema = envelope_schema(cat.record, cat.envelope_field)
-    return spark.read.schema(schema).options(**_options(multi_line)).json(path)
+    return spark.read.schema(schema).options(**json_options(multi_line)).json(path)
 
 
 def read_landed(spark: SparkSession, root: str, cat: Category, first=None, last=None, multi_line: bool = False):
     """Landed documents of all batches, or of a span of them, with ``batch_dt``."""
     schema = envelope_schema(cat.record, cat.envelope_field)
-    return read_batches(spark, root, schema, first, last, file_type="json", **_options(multi_line))
+    return read_batches(spark, root, schema, first, last, file_type="json", **json_options(multi_line))
 
