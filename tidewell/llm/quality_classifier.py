@@ -237,19 +237,20 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def select_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are sampled, all columns. Texts are weighed again where they lie rather than joined to
-    their verdicts, which would send every text through a shuffle."""
+    their verdicts, which would send every text through a shuffle; only the verdict comes back from Python."""
     model, _ = fit(docs, labels, **options)
-    schema, (noise,) = docs.schema, fresh(docs, "_noise")
-
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                weight, toxic = log_weights(part["text"].to_pylist(), model.ratios)
-                kept = (weight + part[noise].to_numpy() >= model.threshold) & (toxic <= model.toxic_cut)
-                yield part.select(schema.fieldNames()).filter(pa.array(kept))
-
-    return docs.withColumn(noise, gumbel(document_key())).mapInArrow(chosen, schema)
+    (verdict,) = fresh(docs, "_verdict")
+
+    @F.arrow_udf("boolean")
+    def chosen(texts: pa.Array, noise: pa.Array) -> pa.Array:
+        found = [pa.array([], pa.bool_())]
+        for at in range(0, len(texts), 1024):
+            weight, toxic = log_weights(texts.slice(at, 1024).to_pylist(), model.ratios)
+            found.append(pa.array((weight + noise.slice(at, 1024).to_numpy() >= model.threshold) & (toxic <= model.toxic_cut)))
+        return pa.concat_arrays(found)
+
+    weighed = docs.withColumn(verdict, chosen(F.col("text").cast("string"), gumbel(document_key())))
+    return weighed.where(F.col(verdict)).select(*docs.columns)
 
 
 def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:
