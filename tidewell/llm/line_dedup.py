@@ -202,26 +202,24 @@ def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str, s
     return joined, dropped, bitmap
 
 
+@F.arrow_udf(T.StringType())
+def _cut_texts(texts: pa.Array, bitmaps: pa.Array) -> pa.Array:
+    pairs = zip(texts.to_pylist(), bitmaps.to_pylist())
+    return pa.array((None if bitmap is None else cut_text(text, bitmap) for text, bitmap in pairs), pa.string())
+
+
 def apply(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with the dropped lines cut out of ``text``, and ``n_chars``, where there is one, brought up to date."""
+    """``docs`` with the dropped lines cut out of ``text``, and ``n_chars``, where there is one, brought up to date. Only texts that
+    lose a line go through Python."""
     schema = docs.schema
-    counted = "n_chars" in docs.columns and isinstance(schema["n_chars"].dataType, T.IntegralType)
-    rows, dropped, bitmap_name = with_bitmaps(docs, bitmaps)
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {n: batch[n] for n in schema.fieldNames()}
-            texts = batch["text"].to_pylist()
-            for i, bitmap in enumerate(batch[bitmap_name].to_pylist()):
-                if bitmap is not None:
-                    texts[i] = cut_text(texts[i], bitmap)
-            columns["text"] = pa.array(texts, pa.string())
-            if counted:
-                sizes = [None if t is None else len(t) for t in texts]
-                columns["n_chars"] = pa.array(sizes, batch["n_chars"].type)
-            yield pa.record_batch(columns)
-
-    return rows.drop(dropped).mapInArrow(of_batches, schema)
+    rows, _, bitmap_name = with_bitmaps(docs, bitmaps)
+    (new,) = fresh(rows, "_new")
+    bitmap = F.col(bitmap_name)
+    rows = rows.withColumn(new, _cut_texts(F.when(bitmap.isNotNull(), F.col("text").cast("string")), bitmap))
+    done = rows.withColumn("text", F.when(bitmap.isNotNull(), F.col(new)).otherwise(F.col("text")))
+    if "n_chars" in docs.columns and isinstance(schema["n_chars"].dataType, T.IntegralType):
+        done = done.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType))
+    return done.select(*docs.columns)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
