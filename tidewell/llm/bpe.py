@@ -22,9 +22,10 @@ import heapq
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from tidewell.llm.columns import extended, fresh
 from tidewell.llm.pretokens import SPACE, pattern, plain_byte_level
 
-#: Words a task remembers; past it, the older half of what it knows is let go.
-MAX_WORDS = 1_200_000
+#: Bytes of words and ids a task process remembers in each of two halves, and what an entry takes beside them; past it, the older half is let go.
+MEMORY, ENTRY = 64 << 20, 180
 #: Longer words are encoded window by window and not remembered.
 LONG_WORD = 96
 #: Characters cut into words at a time.
@@ -154,13 +155,14 @@ class _Words(dict):
     """Ids of words as packed bytes, worked out when first asked for. ``older`` is what was known before."""
 
     def __init__(self, merges: Merges, older: dict):
-        self.merges, self.older = merges, older
+        self.merges, self.older, self.held = merges, older, 0
 
     def __missing__(self, word: str) -> bytes:
         raw = word.encode("utf-8", "surrogatepass")
         if len(raw) > LONG_WORD:
             return array(self.merges.code, self.merges.stream(raw)).tobytes()
         self[word] = ids = self.older.get(word) or array(self.merges.code, self.merges.merge(raw)).tobytes()
+        self.held += len(raw) + len(ids) + ENTRY
         return ids
 
 
@@ -190,8 +192,9 @@ class Encoder:
 
     def packed(self, text: str) -> Iterator[bytes]:
         """Ids of the text in order, packed, word by word."""
-        if len(self.words) > MAX_WORDS // 2:
-            self.words = _Words(self.merges, dict(self.words))
+        if self.words.held > MEMORY:
+            self.words.older = {}
+            self.words = _Words(self.merges, self.words)
         pieces = self.special.split(text) if self.special else [text]
         cut, look = pattern().findall, self.words.__getitem__
         for k, piece in enumerate(pieces):
@@ -201,11 +204,15 @@ class Encoder:
                 for part in self._parts(piece):
                     yield b"".join(map(look, cut(part)))
 
-    def encode(self, text: str) -> list[int]:
+    def encode_packed(self, text: str) -> array:
+        """Ids of the text, two or four bytes each."""
         ids = array(self.merges.code)
         for part in self.packed(text):
             ids.frombytes(part)
-        return ids.tolist()
+        return ids
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_packed(text).tolist()
 
 
 class ByteText:
@@ -234,7 +241,7 @@ class ByteText:
         return rest.decode("utf-8", "replace")
 
 
-def decode(merges: Merges, ids: list[int], step: int = 4096) -> Iterator[str]:
+def decode(merges: Merges, ids: Sequence[int], step: int = 4096) -> Iterator[str]:
     """Text of the ids, piece by piece."""
     state, value = ByteText(), merges.bytes.__getitem__
     for at in range(0, len(ids), step):
@@ -261,10 +268,13 @@ def encode_documents(
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [t or "" for t in part[text_name].to_pylist()]
-                ids = [coder.encode(t) for t in texts]
+                ids = [coder.encode_packed(t) for t in texts]
+                sizes = np.array(list(map(len, ids)), dtype=np.int64)
+                whole = np.concatenate([np.empty(0, dtype=np.int32), *(np.frombuffer(i, dtype=coder.merges.code) for i in ids)])
                 columns = {n: part[n] for n in kept.fieldNames()}
-                columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
-                columns["n_tokens"] = pa.array(map(len, ids), pa.int64())
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(whole.astype(np.int32)))
+                columns["n_tokens"] = pa.array(sizes)
                 if verify:
                     same = ("".join(decode(coder.merges, i)) == t for i, t in zip(ids, texts))
                     columns["round_trip"] = pa.array(same, pa.bool_())
@@ -304,12 +314,15 @@ def op8_bpe_round_trip(spark, sf_dir: str) -> DataFrame:
         for batch in batches:
             counts, id_digests, text_digests = [], [], []
             for text in batch["text"]:
-                ids = coder.encode(text.as_py() or "")
+                ids = coder.encode_packed(text.as_py() or "")
                 counts.append(len(ids))
-                id_digests.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                digest = hashlib.sha256()
+                # Both digests are fed piece by piece.
+                listed, digest = hashlib.sha256(), hashlib.sha256()
+                for at in range(0, len(ids), 4096):
+                    listed.update((("," if at else "") + ",".join(map(names.__getitem__, ids[at : at + 4096]))).encode())
                 for piece in decode(coder.merges, ids):
                     digest.update(piece.encode("utf-8", "surrogatepass"))
+                id_digests.append(listed.hexdigest())
                 text_digests.append(digest.hexdigest())
             yield pa.record_batch({
                 "doc_id": batch["doc_id"], "n_tokens": pa.array(counts, pa.int64()),
