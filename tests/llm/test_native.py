@@ -129,14 +129,67 @@ def test_quality_measures_by_brute_force(spark, odd_docs):
     assert got == sorted(repr((r["doc_id"], *quality_measures(r["text"]))) for r in docs.collect())
 
 
-def test_a_host_is_judged_by_its_shrunk_rate(spark):
-    good = " ".join(f"w{i}" for i in range(30))
-    rows = [(i, good, "fine") for i in range(200)] + [(1000 + i, "short" if i else good, "bad") for i in range(200)]
-    rows += [(5000, "short", "small"), (5001, good, "small"), (6000, good, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r["doc_id"]: r for r in quality_rules.quality_rules(docs).collect()}
-    assert got[0]["kept"] and not got[1000]["kept"] and not got[1000]["base_failed"]
-    assert got[5001]["shrunk_rate"] != 0.5 and got[6000]["kept"] and len(got) == 403
+FINE, POOR = " ".join(f"w{i}" for i in range(30)), " ".join(f"# w{i}" for i in range(30))
+
+
+def hosts_of(spark, counts):
+    """Documents by host: (documents, failures); failing ones break a rule that is no base rule."""
+    rows = [(POOR if i < bad else FINE, host) for host, (n, bad) in counts.items() for i in range(n)]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def refused_by_force(counts, max_prior=100.0, spread=4.0):
+    """(shrunk rate, limit) by host, each fitted on a list of the others."""
+    import statistics
+
+    out = {}
+    for host, (n, bad) in counts.items():
+        others = [(c, f) for h, (c, f) in counts.items() if h != host]
+        rates = [(f + 0.5) / (c + 1) for c, f in others]
+        m, few = statistics.mean(rates), statistics.mean(1 / c for c, _ in others)
+        v = (statistics.variance(rates) - m * (1 - m) * few) / (1 - few) if len(rates) > 1 and few < 1 else 0
+        w = min(max_prior, max(0, m * (1 - m) / v - 1)) if v > 1e-12 else max_prior
+        out[host] = (bad + m * w) / (n + w), m + spread * (m * (1 - m) / (w + 1)) ** 0.5
+    return out
+
+
+FLEETS = {
+    "one far above": {f"h{i:02d}": (40, 0) for i in range(19)} | {"bad": (40, 18)},
+    "few hosts": {"fine": (200, 0), "bad": (200, 199), "small": (2, 1), None: (1, 0)},
+    "one of two": {f"h{i}": (60, 4 + i) for i in range(6)} | {"small": (2, 1)},
+    "alike": {f"h{i}": (100, 15 + i % 3) for i in range(8)},
+    "spread": {f"h{i}": (50, 5 * i) for i in range(9)},
+    "single documents": {f"h{i}": (1, i % 2) for i in range(6)},
+}
+REFUSED = {"one far above": {"bad"}, "few hosts": {"bad"}}
+
+
+@pytest.mark.parametrize("fleet", FLEETS)
+def test_hosts_are_judged_by_shrunk_rates(spark, fleet):
+    counts = FLEETS[fleet]
+    got = quality_rules.quality_rules(hosts_of(spark, counts).withColumnRenamed("source", "h").withColumn("source", F.col("h"))).collect()
+    assert len(got) == sum(n for n, _ in counts.values()) and not any(r["base_failed"] for r in got)
+    measured = quality_rules.measure(hosts_of(spark, counts))
+    found = {r["host"]: r for r in quality_rules.host_verdicts(measured).collect()}
+    for host, (rate, limit) in refused_by_force(counts).items():
+        assert found[host]["shrunk_rate"] == pytest.approx(rate) and found[host]["limit"] == pytest.approx(limit)
+        assert found[host]["refused"] == (rate > limit)
+    assert {h for h, r in found.items() if r["refused"]} == REFUSED.get(fleet, set())
+    # Here nothing but the host's verdict drops a document.
+    kept = sum(r["kept"] for r in got)
+    assert kept == sum(n for h, (n, _) in counts.items() if h not in REFUSED.get(fleet, set()))
+
+
+def test_the_prior_saves_a_small_host(spark):
+    """Half of its two documents fail, far beyond the limit; the shrunk rate is not."""
+    r = {r["host"]: r for r in quality_rules.host_verdicts(quality_rules.measure(hosts_of(spark, FLEETS["one of two"]))).collect()}["small"]
+    assert r["failures"] / r["docs"] > r["limit"] > r["shrunk_rate"] and not r["refused"]
+
+
+def test_a_lone_host_and_no_host(spark):
+    docs = hosts_of(spark, {"a": (5, 5)})
+    assert all(r["kept"] for r in quality_rules.quality_rules(docs).collect())
     assert quality_rules.quality_rules(docs.limit(0)).collect() == []
 
 

@@ -2,8 +2,8 @@ r"""Quality rules with host verdicts.
 
 Each document is measured and held against rules. Rule failures are then counted by host; a host's failure
 rate is shrunk towards all hosts' rates with a beta prior fitted to them, so a host with two documents is
-not judged like one with two million; hosts whose shrunk rate passes a limit are refused and the verdict is
-joined back to their documents. Only DataFrame functions are used, text is read once, and what is
+not judged like one with two million; hosts whose shrunk rate passes a limit that follows from the prior are refused and the
+verdict is joined back to their documents. A document is kept if it meets the base rules and its host is not refused. Only DataFrame functions are used, text is read once, and what is
 shuffled is counts.
 
 Defined cases: NULL text has no words (and fails the word-count rule); a NULL host is one host of its
@@ -90,71 +90,88 @@ def rule_failures(max_symbol_share: float = 0.1, max_dup_lines: float = 0.5) ->
     }
 
 
-def host_verdicts(measured: DataFrame, max_rate: float = 0.5, max_prior: float = 1000.0) -> DataFrame:
-    """host, its documents, failures, shrunk rate and whether it is refused.
+def host_verdicts(measured: DataFrame, max_prior: float = 100.0, spread: float = 4.0) -> DataFrame:
+    """host, its documents, failures, shrunk rate, the limit and whether the host is refused.
 
-    The prior is the beta distribution with the mean and variance of the hosts' rates (each host
-    counts once); its weight is at most ``max_prior`` documents, which also serves hosts that all
-    agree. One row of moments is all that meets in one place.
+    A document fails if any rule says so. The true rates of all other hosts are taken to come from a beta distribution, fitted by the
+    beta-binomial's moments, each host counting once: the variance of the rates seen, less what drawing so few documents adds
+    to it. The host's own rate is shrunk towards that prior, and the host is refused if it is still more than ``spread`` of the prior's
+    standard deviations above the prior's mean. A prior weighs ``max_prior`` documents at most, so hosts are never taken to be
+    more alike than that. A host that has no others beside it is not refused.
+
+    Rates are taken half a failure up in one document more, so a host that never failed is not taken to be without fault. One row of sums
+    is all that meets in one place.
     """
     failed = F.lit(False)
     for rule in rule_failures().values():
         failed = failed | rule
-    hosts = measured.groupBy("host").agg(
-        F.count("*").alias("docs"), F.count_if(failed).alias("failures")
-    ).withColumn("rate", F.col("failures") / F.col("docs"))
-    m, v = hosts.agg(F.avg("rate"), F.var_pop("rate")).first()
-    m, v = m or 0.0, v or 0.0
-    weight = min(max_prior, max(0.0, m * (1 - m) / v - 1)) if v > 0 else max_prior
-    shrunk = (F.col("failures") + m * weight) / (F.col("docs") + weight)
-    return hosts.withColumn("shrunk_rate", shrunk).withColumn("refused", F.col("shrunk_rate") > max_rate)
-
-
-def quality_rules(docs: DataFrame, host: str = "source", max_rate: float = 0.5) -> DataFrame:
-    """Measures, the rules each document fails, its host's shrunk rate, and ``kept``."""
+    hosts = measured.groupBy("host").agg(F.count("*").alias("docs"), F.count_if(failed).alias("failures"))
+    r, draw = (F.col("failures") + 0.5) / (F.col("docs") + 1), 1 / F.col("docs")
+    k, total, squares, draws = hosts.agg(F.count("*") - 1, F.sum(r), F.sum(r * r), F.sum(draw)).first()
+    if k < 1:
+        return hosts.withColumns({"shrunk_rate": r, "limit": F.lit(1.0), "refused": F.lit(False)})
+    m = (F.lit(total) - r) / k
+    some = F.col("m") * (1 - F.col("m"))
+    seen = (F.lit(squares) - r * r - k * F.col("m") * F.col("m")) / max(1, k - 1)
+    few = (F.lit(draws) - draw) / k
+    v = F.when(few < 1, (seen - some * few) / (1 - few)).otherwise(0.0) if k > 1 else F.lit(0.0)
+    weight = F.when(F.col("v") > 0, F.least(F.lit(max_prior), F.greatest(F.lit(0.0), some / F.col("v") - 1))).otherwise(max_prior)
+    fitted = hosts.withColumn("m", m).withColumn("v", v).withColumn("weight", weight)
+    return fitted.select(
+        "host", "docs", "failures",
+        ((F.col("failures") + F.col("m") * F.col("weight")) / (F.col("docs") + F.col("weight"))).alias("shrunk_rate"),
+        (F.col("m") + spread * F.sqrt(some / (F.col("weight") + 1))).alias("limit"),
+    ).withColumn("refused", F.col("shrunk_rate") > F.col("limit"))
+
+
+def quality_rules(docs: DataFrame, host: str = "source", **options: float) -> DataFrame:
+    """Measures, the rules each document fails, its host's shrunk rate and the limit, and ``kept``: no base rule failed and the host is not
+    refused. The other rules count towards the host."""
     measured = stored(measure(docs, host), "quality-rules")
-    verdicts = host_verdicts(measured, max_rate).select(F.col("host").alias("h"), "shrunk_rate", "refused")
+    verdicts = host_verdicts(measured, **options).select(F.col("host").alias("h"), "shrunk_rate", "limit", "refused")
     rules = rule_failures()
     base = rules["words"] | rules["repeats"]
     failed = F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in rules.items()])
     joined = measured.join(verdicts, F.col("host").eqNullSafe(F.col("h")))
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base.alias("base_failed"), "n_lines",
-        ((failed == "") & ~F.col("refused")).alias("kept"),
-        failed.alias("failed_rules"), "shrunk_rate",
+        base.alias("base_failed"), "n_lines", (~base & ~F.col("refused")).alias("kept"),
+        failed.alias("failed_rules"), "shrunk_rate", F.col("limit").alias("host_limit"),
     )
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
     done = quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return done.withColumn("shrunk_rate", F.round("shrunk_rate", 9))
+    return done.withColumns({c: F.round(c, 9) for c in ("shrunk_rate", "host_limit")})
 
 
 ORACLE = r"""
 with t as (select doc_id, source, coalesce(text, '') as text from documents),
-w as (select *, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w,
+x as (select *, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w,
         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) as l from t),
 g as (select doc_id, array_to_string(w[i:i+7], ' ') as gram, i from
-        (select doc_id, w, unnest(range(1, greatest(len(w) - 6, 1))) as i from w)),
-r as (select doc_id, i from (select *, count(*) over (partition by doc_id, gram) as c from g) where c > 1),
-p as (select doc_id, count(distinct i + k) as n from r, (select unnest(range(8)) as k) group by doc_id),
-m as (
-  select w.doc_id, source, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+        (select doc_id, w, unnest(range(1, greatest(len(w) - 6, 1))) as i from x)),
+z as (select doc_id, i from (select *, count(*) over (partition by doc_id, gram) as c from g) where c > 1),
+p as (select doc_id, count(distinct i + k) as n from z, (select unnest(range(8)) as k) group by doc_id),
+q as (
+  select x.doc_id, source, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
     (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, len(l)::bigint as n_lines, coalesce(n, 0)::bigint as n_repeat_words
-  from w left join p on w.doc_id = p.doc_id),
+  from x left join p on x.doc_id = p.doc_id),
 f as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
     concat_ws(',', case when n_words < 20 then 'words' end,
       case when 100 * n_repeat_words > 30 * n_words then 'repeats' end,
       case when n_symbols > 0.1 * word_chars then 'symbols' end,
-      case when n_dup_lines > 0.5 * n_lines then 'dup_lines' end) as failed_rules from m),
-h as (select source, count(*) as docs, count(*) filter (failed_rules <> '') as failures,
-    count(*) filter (failed_rules <> '') / count(*) as rate from f group by source),
-v as (select avg(rate) as m, case when var_pop(rate) > 0
-    then least(1000.0, greatest(0.0, avg(rate) * (1 - avg(rate)) / var_pop(rate) - 1)) else 1000.0 end as k from h),
-s as (select source, (failures + m * k) / (docs + k) as rate from h, v)
+      case when n_dup_lines > 0.5 * n_lines then 'dup_lines' end) as failed_rules from q),
+h as (select source, count(*) as docs, count(*) filter (failed_rules <> '') as failures from f group by source),
+r as (select *, (failures + 0.5::double) / (docs + 1) as r from h),
+a as (select count(*) - 1 as k, sum(r) as total, sum(r * r) as squares, sum(1.0::double / docs) as draws from r),
+m as (select *, (total - r) / k as m, (draws - 1.0::double / docs) / k as few from r, a where k > 0),
+v as (select *, case when few < 1 and k > 1 then ((squares - r * r - k * m * m) / (k - 1) - m * (1 - m) * few) / (1 - few) else 0.0 end as v from m),
+w as (select *, case when v > 0 then least(100.0, greatest(0.0, m * (1 - m) / v - 1)) else 100.0 end::double as w from v),
+s as (select source, (failures + m * w) / (docs + w) as rate, m + 4 * sqrt(m * (1 - m) / (w + 1)) as top from w
+  union all select source, r, 1.0 from r, a where k = 0)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
-  failed_rules = '' and s.rate <= 0.5 as kept, failed_rules, round(s.rate, 9) as shrunk_rate
+  not base_failed and s.rate <= s.top as kept, failed_rules, round(s.rate, 9) as shrunk_rate, round(s.top, 9) as host_limit
 from f join s on f.source is not distinct from s.source
 """
