@@ -226,12 +226,34 @@ def test_copies_of_items_full_of_numbers_and_of_short_items_are_found(spark):
     names = "Ada, Alan, Grace, Edsger, Donald, Barbara, John"
     items = [numbers, names, "name the largest inland sea", "12 * 3", "12, 12"]
     texts = [
-        f"Work it out. {numbers} Done.", f"The list: {names.lower()}, and more.", "Please name the largest inland sea.",
-        "so 12 * 3 is 36", "1 12 7 and 12 13", numbers.replace("77", "78").replace("8", "9"), "name the largest inland lake", None,
+        f"Work it out. {numbers} Done.", f"The list: {names.lower()}, and more.", "Think well! Name the largest inland sea. Then go on.",
+        "as in\n12 * 3\nis 36", "1 12 7 and 12 13", numbers.replace("77", "78").replace("8", "9"), "name the largest inland lake", None,
+        "so 12 * 3 is 36", "please name the largest inland sea",
     ]
     assert flagged(spark, texts, items, forms=decontamination.FORMS) == {(i, i) for i in range(4)}
 
 
+def test_short_items_match_whole_sentences_only(spark, sf_dir):
+    items = ["the", "Yes", "12", "Yes. No."]
+    texts = ["The end of the day. Yes and no, 12 of them.", "Is it so? Yes. We go.", "the", "on\n12\noff", "No. yes! no; maybe", "Yes. No", None]
+    assert flagged(spark, texts, items, forms=decontamination.FORMS) == {(1, 1), (2, 0), (3, 2), (4, 1), (5, 1), (5, 3)}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    benchmark = spark.createDataFrame(list(enumerate(items[:3])), "item_id long, text string")
+    said = {r["doc_id"] for r in docs.collect() for part in re.split("[.!?\n]", r["text"])
+            if [w.lower() for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", part)] in (["the"], ["yes"], ["12"])}
+    left = {r["doc_id"] for r in decontamination.clean_documents(docs, benchmark).collect()}
+    assert left == {r["doc_id"] for r in docs.collect()} - said and len(said) < 0.2 * docs.count()
+
+
+def test_every_item_of_a_window_is_named(spark):
+    """Items 3 and 9 differ in a number; a document asks with a third one."""
+    ask = "A shop sells {} boxes of tea each day for a week, how many boxes is that in all"
+    docs = spark.createDataFrame([(0, ask.format(7)), (1, "Tell me. " + ask.format(30)), (2, "nothing")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(3, ask.format(5)), (9, ask.format(6)), (10, "What is asked here is not asked there")], "item_id long, text string")
+    got = decontamination.contaminated(docs, benchmark, forms=decontamination.FORMS).collect()
+    assert {(r.doc_id, r.item_id, r.n_items, r.item_ids) for r in got} == {(0, 3, 2, "3,9"), (1, 3, 2, "3,9")}
+
+
 def test_any_benchmark_size_gives_the_same_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -269,11 +291,16 @@ def test_pieces_of_long_texts_give_the_same_words(monkeypatch):
     from tidewell.llm import quality_classifier, word_hashes
 
     texts = ["a b c", None, "", "lorem ipsum Dolor. Sit amet\n" * 50, "x y", "word " * 300]
+    # Names, numbers and units at seams that are cut at a blank.
+    texts += ["went Ana Maria Lopez 12 km and 1,234.5 kg to Rome " * 40, ". , " * 200, "end"]
     together = lambda groups: [np.concatenate(x).tolist() for x in zip(*groups)]
     whole = together(decontamination.canonical_texts(texts)), sorted(zip(*together(quality_classifier.ngrams(texts))))
     for module in (decontamination, quality_classifier):
         monkeypatch.setattr(module, "pieces", functools.partial(word_hashes.pieces, size=100))
-    assert together(decontamination.canonical_texts(texts)) == whole[0]
+    for size in (100, 37, 64):
+        for module in (decontamination, quality_classifier):
+            monkeypatch.setattr(module, "pieces", functools.partial(word_hashes.pieces, size=size))
+        assert together(decontamination.canonical_texts(texts)) == whole[0]
     assert sorted(zip(*together(quality_classifier.ngrams(texts)))) == whole[1]
 
 
@@ -289,7 +316,7 @@ def test_canonical_windows_equal_their_sql(spark):
         return "".join(rnd.choice(words) + rnd.choice(gaps) for _ in range(n))
 
     items = [sentence(rnd.randint(0, 25)) for _ in range(30)] + [None, ""]
-    items += [items[0], items[1].replace("5", "7").replace("Paris", "Oslo")]
+    items += [items[0], items[1].replace("5", "7").replace("Paris", "Oslo"), "the train", "5", "Maria runs to Rome"]
     texts = [None, "", "Zu"] + [sentence(rnd.randint(0, 60)) for _ in range(200)]
     for i in range(100):
         item = rnd.choice(items) or ""
@@ -302,7 +329,8 @@ def test_canonical_windows_equal_their_sql(spark):
     for name, key, rows in (("documents", "doc_id", texts), ("benchmark", "item_id", items)):
         con.register(name, pa.table({key: pa.array(range(len(rows)), pa.int64()), "text": pa.array(rows, pa.string())}))
     want = con.sql(decontamination.ORACLE).fetchall()
-    got = decontamination.contaminated(docs, benchmark).select("doc_id", "item_id", "n_windows", "n_items").collect()
-    assert len(want) > 20
+    found = decontamination.contaminated(docs, benchmark, forms=decontamination.FORMS)
+    got = found.select("doc_id", "item_id", "n_windows", "n_items", "item_ids").collect()
+    assert len(want) > 20 and any("," in w[-1] for w in want)
     missing, extra = set(want) - set(map(tuple, got)), set(map(tuple, got)) - set(want)
     assert not missing and not extra and len(got) == len(want)

@@ -7,7 +7,8 @@ canonical words are hashed and joined, so a question asked again with other numb
 A name may open a sentence, and a question may be quoted in other letters. So windows are taken in ``FORMS`` on both
 sides, each joined with its own: CANONICAL as above (what ``ORACLE`` says); ANYWHERE, where every capitalised word is a
 NAME, at a sentence start too; LOWER, where no word is one; PLAIN, where words and numbers all stand for themselves, so copies of items are found
-however many numbers they hold and however short they are.
+however many numbers they hold. An item of fewer than ``shortest`` words is looked for in PLAIN alone, and only as a whole sentence or line
+(stops, line ends or the text's ends on both sides): its words may stand anywhere by chance.
 
 Slot consistency: a document's window is the benchmark's window with other slot values exactly if one-to-one
 replacement of values leads from one to the other, that is, if the same slots hold equal values on both sides. That
@@ -18,9 +19,9 @@ What a task needs of the benchmark to leave out windows that match nothing is a
 bits), whatever the benchmark's size; what passes it is then joined exactly, on 64-bit hashes. A larger benchmark
 sends more chance hits into the join, never fewer matches.
 
-Defined cases: NULL or blank texts have no windows; an item shorter than a window but of at least ``shortest`` words (any
-number in PLAIN) is one window of its length; windows in which fewer than half the words are literals say too little for
-other slot values and are left out of the forms with slots; equal windows of several items are reported under the smallest item_id, and ``item_windows`` lists their members; repeated rows and NULL doc_ids keep their
+Defined cases: NULL or blank texts have no windows; an item shorter than a window but of at least ``shortest`` words (in PLAIN any number, as above) is one
+window of its length; windows in which fewer than half the words are literals say too little for
+other slot values and are left out of the forms with slots; equal windows of several items are reported under the smallest item_id, with all of them in ``item_ids``; repeated rows and NULL doc_ids keep their
 own rows of the result; empty tables give no row; other columns are ignored, or kept by ``clean_documents``.
 """
 
@@ -140,20 +141,34 @@ def _window_hashes(h: np.ndarray, at: np.ndarray, value: np.ndarray, slot: np.nd
     return h
 
 
+def _last_word(data: bytes) -> bytes:
+    """From the last word on; all of it where there is none."""
+    word = KIND[np.frombuffer(data, dtype=np.uint8)] == 1
+    at = np.flatnonzero(word)
+    if not len(at):
+        return data
+    blank = np.flatnonzero(~word[: at[-1]])
+    return data[blank[-1] + 1 if len(blank) else 0 :]
+
+
 def _texts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
-    """``_words`` of whole texts, in groups, by row. A long text's pieces are put together again."""
-    held, held_row = [], -1
+    """``_words`` of whole texts, in groups, by row. A long text's pieces are put together again; each is read with the last word of the
+    one before it, so what lies between two words does not depend on the cut."""
+    held, held_row, tail, known = [], -1, b"", 0
     for rows, parts in pieces(texts):
-        part, *rest = _words(parts)
-        found = (np.array(rows, dtype=np.int64)[part], *rest)
         if held and rows[0] != held_row:
             yield tuple(map(np.concatenate, zip(*held)))
             held = []
-        if len(rows) == 1:
-            held.append(found)
-            held_row = rows[0]
-        else:
-            yield found
+        if len(rows) > 1:
+            part, *rest = _words(parts)
+            yield (np.array(rows, dtype=np.int64)[part], *rest)
+            continue
+        whole = tail + parts[0] if held else parts[0]
+        part, *rest = _words([whole])
+        found = (np.full(len(part), rows[0], dtype=np.int64), *rest)
+        # The word read again, if the tail had one, is known.
+        held.append(tuple(x[known if held else 0 :] for x in found))
+        held_row, tail, known = rows[0], _last_word(whole), int(len(part) > 0)
     if held:
         yield tuple(map(np.concatenate, zip(*held)))
 
@@ -200,10 +215,10 @@ def item_windows(
 def benchmark_windows(
     benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, forms: tuple[int, ...] = (CANONICAL,)
 ) -> DataFrame:
-    """h, size, form, the smallest item_id that has the window, and how many do (``item_windows`` names them all)."""
+    """h, size, form, the items that have the window, the smallest item_id among them, and how many there are."""
     return item_windows(benchmark, window, shortest, forms).groupBy("h", "size", "form").agg(
-        F.min("item_id").alias("item_id"), F.count_distinct("item_id").alias("n_items")
-    )
+        F.min("item_id").alias("item_id"), F.collect_set("item_id").alias("items")
+    ).withColumn("n_items", F.size("items").cast("long"))
 
 
 def bitmap(windows: DataFrame, bits: int = BITS) -> np.ndarray:
@@ -216,7 +231,13 @@ def bitmap(windows: DataFrame, bits: int = BITS) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _document_windows(filled: np.ndarray, sizes: list[tuple[int, int]], bits: int):
+def _whole_sentences(inside: np.ndarray, size: int) -> np.ndarray:
+    """For each window whether it begins and ends with a sentence, a line or the text. ``inside``: whether a word goes on a sentence."""
+    ends = np.r_[~inside[1:], True]
+    return ~inside[: len(inside) - size + 1] & ends[size - 1 :]
+
+
+def _document_windows(filled: np.ndarray, sizes: list[tuple[int, int]], bits: int, shortest: int):
     last = np.uint64((1 << bits) - 1)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,6 +256,8 @@ def _document_windows(filled: np.ndarray, sizes: list[tuple[int, int]], bits: in
                         place = h & last
                         hit = (filled[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0
                         hit &= enough & (row[: len(h)] == row[size - 1 :])
+                        if form == PLAIN and size < shortest:
+                            hit &= _whole_sentences(words[4], size)
                         # A window said again and again in one text counts once.
                         where = np.flatnonzero(hit)
                         full = _window_hashes(h, where, value, slot, size).view(np.int64)
@@ -254,23 +277,24 @@ def contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, bits: int = BITS,
     forms: tuple[int, ...] = (CANONICAL,),
 ) -> DataFrame:
-    """doc_id, key, item_id and the number of distinct windows they share, for every document and item that share one in
-    any of the forms. Windows are counted in the first form that they share one in."""
+    """doc_id, key, item_id, item_ids, and the number of distinct windows they share, for every document and item that share one in
+    any of the forms. Windows are counted in the first form that they share one in. Windows of several items count for the
+    smallest; item_ids lists all that have one of these windows, sorted and comma-joined."""
     windows = stored(benchmark_windows(benchmark, window, shortest, forms), "benchmark-windows")
     sizes = [tuple(row) for row in windows.select("form", "size").distinct().orderBy("form", "size").collect()]
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", document_key().alias("key"), F.col("text").cast("string").alias("text"))
     passed = rows.mapInArrow(
-        _document_windows(bitmap(windows, bits), sizes, bits), f"doc_id {kind}, key string, h long"
+        _document_windows(bitmap(windows, bits), sizes, bits, shortest), f"doc_id {kind}, key string, h long"
     )
     # On the document side a hot passage is split by Spark; the other side has each window once.
-    found = stored(passed, "document-windows").join(windows.select("h", "form", "item_id", "n_items"), "h")
+    found = stored(passed, "document-windows").join(windows.select("h", "form", "item_id", "items", "n_items"), "h")
     each = found.groupBy("doc_id", "key", "item_id", "form").agg(
-        F.count("*").alias("n_windows"), F.max("n_items").alias("n_items")
-    )
-    return each.groupBy("doc_id", "key", "item_id").agg(
-        F.min_by("n_windows", "form").alias("n_windows"), F.min_by("n_items", "form").alias("n_items")
+        F.count("*").alias("n_windows"), F.max("n_items").alias("n_items"), F.collect_set("items").alias("items")
     )
+    first = each.groupBy("doc_id", "key", "item_id").agg(*[F.min_by(c, "form").alias(c) for c in ("n_windows", "n_items", "items")])
+    named = F.array_join(F.array_sort(F.array_distinct(F.flatten("items"))).cast("array<string>"), ",")
+    return first.select("doc_id", "key", "item_id", "n_windows", "n_items", named.alias("item_ids"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -284,49 +308,74 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, benchmark = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
     found = contaminated(docs, benchmark, forms=FORMS)
-    return found.select("doc_id", "item_id", "n_windows", "n_items")
+    return found.select("doc_id", "item_id", "n_windows", "n_items", "item_ids")
 
 
-def _canonical_sql(name: str, key: str, table: str) -> str:
-    """CTEs that end in ``<name>_c``: per row the canonical words and the slots' values, '' for literals."""
+def _words_sql(name: str, key: str, table: str) -> str:
+    """CTEs that end in ``<name>_k``: the words of each row, with what stands before them."""
     word = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
     lower = "translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    units = ", ".join(f"'{u}'" for u in UNITS)
     return rf"""
 {name}_w as (select {key}, unnest(regexp_extract_all(text, '{word}')) as w, unnest(regexp_split_to_array(text, '{word}')[:-2]) as gap,
     generate_subscripts(regexp_extract_all(text, '{word}'), 1) as i from {table} where regexp_matches(text, '{word}')),
-{name}_k as (select *, regexp_full_match(w, '[0-9]+') as number, i > 1 and not regexp_matches(gap, '[.!?\n]') as inside,
-    regexp_matches(w, '^[A-Z\x{{C0}}-\x{{DE}}]') as capital, {lower} as low from {name}_w),
-{name}_n as (select *, capital and inside and not number as name,
+{name}_k as materialized (select *, regexp_full_match(w, '[0-9]+') as number, i > 1 and not regexp_matches(gap, '[.!?\n]') as inside,
+    regexp_matches(w, '^[A-Z\x{{C0}}-\x{{DE}}]') as capital, {lower} as low from {name}_w)"""
+
+
+def _form_sql(name: str, key: str, form: int) -> str:
+    """CTEs that end in ``<name><form>_c``: per row the canonical words (c), the slots' values, '' for literals (v), and whether words go on a
+    sentence (s, for PLAIN)."""
+    at = f"{name}{form}"
+    if form == PLAIN:
+        return f"""
+{at}_c as materialized (select {key}, list(low order by i) as c, list('' order by i) as v, list(inside order by i) as s from {name}_k group by {key})"""
+    named = {CANONICAL: "inside", ANYWHERE: "true", LOWER: "false"}[form]
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    return rf"""
+{at}_n as (select *, capital and {named} and not number as name,
     coalesce(lag(number) over (partition by {key} order by i), false) as after_number from {name}_k),
-{name}_g as (select *, case when number then '1' when name then '2' when after_number and inside and low in ({units}) then '3'
+{at}_g as (select *, case when number then '1' when name then '2' when after_number and inside and low in ({units}) then '3'
       else '' end as kind,
     i > 1 and length(gap) = 1 and (number and after_number and gap in (',', '.')
-      or name and coalesce(lag(name) over (partition by {key} order by i), false) and regexp_matches(gap, '[\x00-\x20\x7F]')) as on_
-  from {name}_n),
-{name}_h as (select *, count(*) filter (not on_) over (partition by {key} order by i) as grp from {name}_g),
-{name}_s as (select {key}, grp, arg_min(kind, i) as kind, arg_min(low, i) as low,
-    array_to_string(list_sort(list(low)), ' ') as v from {name}_h group by {key}, grp),
-{name}_c as (select {key}, list(case when kind = '' then low else '<' || kind || '>' end order by grp) as c,
-    list(case when kind = '' then '' else kind || v end order by grp) as v from {name}_s group by {key})"""
+      or name and inside and coalesce(lag(name) over (partition by {key} order by i), false) and regexp_matches(gap, '[\x00-\x20\x7F]')) as on_
+  from {at}_n),
+{at}_h as (select *, count(*) filter (not on_) over (partition by {key} order by i) as grp from {at}_g),
+{at}_s as (select {key}, grp, arg_min(kind, i) as kind, arg_min(low, i) as low,
+    array_to_string(list_sort(list(low)), ' ') as v from {at}_h group by {key}, grp),
+{at}_c as materialized (select {key}, list(case when kind = '' then low else '<' || kind || '>' end order by grp) as c,
+    list(case when kind = '' then '' else kind || v end order by grp) as v, null::boolean[] as s from {at}_s group by {key})"""
+
+
+#: A window's canonical text, its pattern of equal slots after it.
+_TEXT = """array_to_string(c, ' ') || case when len(list_filter(v, lambda y: y <> '')) > 1
+    then '|' || array_to_string(list_transform(v, lambda y: case when y = '' then 0 else list_position(v, y) end), ',') else '' end"""
+_ENOUGH = "2 * len(list_filter(v, lambda y: y <> '')) <= size"
+
+
+def _item_sql(form: int) -> str:
+    size, least = f"least({WINDOW}, len(c))", 1 if form == PLAIN else SHORTEST
+    return f"""
+select item_id, {form} as form, size, c[1] as word, {_TEXT} as x from (select item_id, size, c[i : i + size - 1] as c, v[i : i + size - 1] as v
+  from (select item_id, c, v, {size} as size, unnest(range(1, len(c) - {size} + 2)) as i from b{form}_c where len(c) >= {least})) where {_ENOUGH}"""
 
 
-def _windows_sql(key: str, source: str, size: str) -> str:
-    """Rows (key, size, x): the canonical text of each window that says enough, its pattern of equal slots after it."""
+def _document_sql(form: int) -> str:
+    whole = f"and (size >= {SHORTEST} or not s[i] and (i + size > len(c) or not s[i + size]))" if form == PLAIN else ""
     return f"""
-  select {key}, size, array_to_string(c, ' ') || case when len(list_filter(v, lambda y: y <> '')) > 1
-    then '|' || array_to_string(list_transform(v, lambda y: case when y = '' then 0 else list_position(v, y) end), ',') else '' end as x
-  from (select {key}, size, c[i : i + size - 1] as c, v[i : i + size - 1] as v
-    from (select {key}, c, v, {size} as size, unnest(range(1, len(c) - {size} + 2)) as i from {source}))
-  where 2 * len(list_filter(v, lambda y: y <> '')) <= size"""
+select doc_id, {form} as form, {_TEXT} as x from (select doc_id, size, c[i : i + size - 1] as c, v[i : i + size - 1] as v
+  from (select doc_id, c, v, s, unnest(range(1, len(c) + 1)) as i from d{form}_c) p
+    join (select distinct size, word from bw where form = {form}) z on p.c[p.i] = z.word
+  where i + size - 1 <= len(c) {whole}) where {_ENOUGH}"""
 
 
 ORACLE = f"""
-with {_canonical_sql('b', 'item_id', 'benchmark')},
-{_canonical_sql('d', 'doc_id', 'documents')},
-bw as ({_windows_sql('item_id', f'(select * from b_c where len(c) >= {SHORTEST})', f'least({WINDOW}, len(c))')}),
-bs as (select x, min(item_id) as item_id, count(distinct item_id) as n_items from bw group by x),
-dw as ({_windows_sql('doc_id', '(select * from d_c, (select distinct size as z from bw) where len(c) >= z)', 'z')})
-select doc_id, item_id, count(distinct x)::bigint as n_windows, max(n_items)::bigint as n_items
-from dw join bs using (x) group by doc_id, item_id
+with {_words_sql('b', 'item_id', 'benchmark')}, {_words_sql('d', 'doc_id', 'documents')},
+{', '.join(_form_sql('b', 'item_id', form) for form in FORMS)}, {', '.join(_form_sql('d', 'doc_id', form) for form in FORMS)},
+bw as materialized ({' union all '.join(map(_item_sql, FORMS))}),
+bs as (select form, x, min(item_id) as item_id, count(distinct item_id) as n_items, list(distinct item_id) as items from bw group by form, x),
+dw as ({' union all '.join(map(_document_sql, FORMS))}),
+e as (select doc_id, item_id, form, count(distinct x)::bigint as n_windows, max(n_items)::bigint as n_items, flatten(list(distinct items)) as items
+  from dw join bs using (form, x) group by all)
+select doc_id, item_id, arg_min(n_windows, form) as n_windows, arg_min(n_items, form) as n_items,
+  array_to_string(list_sort(list_distinct(arg_min(items, form))), ',') as item_ids from e group by doc_id, item_id
 """
