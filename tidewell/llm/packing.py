@@ -10,17 +10,21 @@ pieces are dealt out again over as many tasks as they then need, until one task
 whatever is done. Pieces that fill a sequence take no part.
 
 Tokens: a vocabulary that drops white space, as word vocabularies do, encodes a text as its blank-free parts one after another, so
-each part is encoded by the library once and looked up from then on, in a memory bounded in bytes; other vocabularies
-encode whole texts.
+each part is encoded once and looked up from then on, in a memory bounded in bytes; other vocabularies encode whole texts. A part
+of Latin-1 letters and signs, which normalising only lower-cases, is cut into words here and the library's model merges each; all else is
+the library's from end to end.
 
 Defined cases: NULL or empty text is the end id alone; repeated rows and NULL doc_ids are rows of their own, each packed;
 an empty table gives no row; other columns are ignored.
 """
 
 import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,45 +32,63 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm.bpe import byte_letters
 from tidewell.llm.columns import extended
 from tidewell.scratch import stored
 
 CAPACITY = 4096
 #: Pieces a task packs, about; it holds some 60 bytes of each.
 SHARE = 1 << 16
-#: Bytes of remembered parts in each of the memory's two halves, what an entry takes beside its key and ids, and the longest key.
-MEMORY, ENTRY, LONG_PART = 40 << 20, 150, 48
+#: Bytes of remembered parts in each of the memory's two halves, what an entry is taken for, and the longest part remembered.
+MEMORY, ENTRY, LONG_PART = 110 << 20, 180, 48
+# The cut of word vocabularies, the same for Latin-1 texts in lower case, the Latin-1 signs that no normal form changes, and
+# what marks a word's last token.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+LATIN = "".join(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]))
+WORD_END = "</w>"
 
 
 def drops_blanks(path: str) -> bool:
-    """Whether a tokenizers file cuts texts at white space, leaves it out and joins nothing across it."""
+    """Whether a tokenizers file cuts texts by ``WORDS``, which leaves out white space, and joins nothing across it."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    normal, cutter = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
-    steps = normal.get("normalizers", [normal] if normal else [])
-    first = cutter.get("pretokenizers", [cutter])[0]
-    kinds = {s["type"] for s in steps} <= {"NFC", "Lowercase"} | {
-        s["type"] for s in steps if s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " "
-    }
-    removed = first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
-    words = removed and all(
-        part.startswith("'") or r"\s" in part or part in (r"[\p{L}]+", r"[\p{N}]") for part in first["pattern"]["Regex"].split("|")
+    steps = (spec["normalizer"] or {}).get("normalizers", [])
+    cutters = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    alike = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
+    words = [c.get("type") for c in cutters] == ["Split", "ByteLevel"] and cutters[0]["pattern"] == {"Regex": WORDS}
+    return (
+        alike and words and cutters[0]["behavior"] == "Removed" and cutters[0]["invert"] and not cutters[1]["add_prefix_space"]
+        and not cutters[1]["use_regex"] and spec["post_processor"] is None and spec["model"]["type"] == "BPE"
+        and spec["model"]["end_of_word_suffix"] == WORD_END
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
     )
-    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
-    return bool(kinds and words and plain and spec["post_processor"] is None)
 
 
 class Ids:
     """Texts to ids as the file's library gives them."""
 
     def __init__(self, path: str):
+        # The tasks are the threads.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.by_part = drops_blanks(path)
+        # Parts that may hold a special string are left to the library.
+        first = {t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.latin = re.compile(f"[{''.join(re.escape(c) for c in LATIN if c not in first)}]+").fullmatch
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.letters[ord(" ")] = " "
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = WhitespaceSplit()
+        # Which tokens end a word.
+        tokens = sorted((number, token) for token, number in self.tokenizer.get_vocab().items())
+        self.last = np.array([token.endswith(WORD_END) for _, token in tokens])
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.held = 0
@@ -75,29 +97,68 @@ class Ids:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.type) for e in found]
 
-    def _learn(self, parts: list[bytes]) -> None:
-        """Put the parts' ids into what is known."""
-        new = [p for p in parts if p not in self.older]
-        coded = self._library([p.decode("utf-8", "surrogatepass") for p in new])
-        self.known |= zip(new, (ids.tobytes() for ids in coded))
-        self.known |= {p: self.older[p] for p in parts if p in self.older}
-        self.held += sum(len(p) + len(self.known[p]) + ENTRY for p in parts)
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words of the cut."""
+        texts = [" ".join(words[at : at + 256]) for at in range(0, len(words), 256)]
+        texts = [t if t.isascii() else t.encode().decode("latin-1").translate(self.letters) for t in texts]
+        out, size = [], self.type.itemsize
+        for found in self.merger.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(found.ids, dtype=self.type)
+            ends, packed = (size * (np.flatnonzero(self.last[ids]) + 1)).tolist(), ids.tobytes()
+            out += [packed[a:b] for a, b in zip([0, *ends], ends)]
+        return out
+
+    def _learn(self, parts: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of the parts; short ones are remembered."""
+        out, others, latin, words, counts = {}, [], [], [], []
+        older, is_latin, cut = self.older.get, self.latin, LATIN_WORDS.findall
+        for part in parts:
+            if (ids := older(part)) is not None:
+                out[part] = ids
+            elif part.isalpha():
+                # ASCII letters alone are one word.
+                latin.append(part)
+                words.append(part.lower().decode())
+                counts.append(1)
+            elif is_latin(text := part.decode("utf-8", "surrogatepass")):
+                found = cut(text.lower())
+                latin.append(part)
+                words += found
+                counts.append(len(found))
+            else:
+                others.append(part)
+        merged = iter(self._merged(words))
+        for part, n in zip(latin, counts):
+            out[part] = next(merged) if n == 1 else b"".join(islice(merged, n))
+        if others:
+            coded = self._library([p.decode("utf-8", "surrogatepass") for p in others])
+            out |= zip(others, (ids.tobytes() for ids in coded))
+        if self.held > MEMORY:
+            self.older, self.known, self.held = self.known, {}, 0
+        self.known |= out
+        self.held += ENTRY * len(out)
+        for part in out:
+            if len(part) > LONG_PART:
+                del self.known[part]
+                self.held -= ENTRY
+        return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if not self.by_part:
             return self._library([t or "" for t in texts])
         # ASCII white space only, which every such vocabulary drops.
         rows = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        missing = list({p for row in rows for p in row if p not in self.known})
-        self._learn(missing)
-        look = self.known.__getitem__
-        found = [np.frombuffer(b"".join(map(look, row)), dtype=self.type) for row in rows]
-        for part in missing:
-            if len(part) > LONG_PART:
-                self.held -= len(part) + len(self.known.pop(part)) + ENTRY
-        if self.held > MEMORY:
-            self.older, self.known, self.held = self.known, {}, 0
-        return found
+        found = [list(map(self.known.get, row)) for row in rows]
+        unknown = []
+        for row, ids in zip(rows, found):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                unknown.append((ids, at, row[at]))
+        new = self._learn({part for _, _, part in unknown})
+        for ids, at, part in unknown:
+            ids[at] = new[part]
+        return [np.frombuffer(b"".join(ids), dtype=self.type) for ids in found]
 
 
 @cache
@@ -123,7 +184,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: in
                     size += len(texts[-1] or "")
                 take, piece, start, length, crc = [], [], [], [], []
                 for i, ids in enumerate(coder.encode(texts)):
-                    whole = np.append(ids.astype("<u4"), np.uint32(end_id)).astype("<u4")
+                    whole = np.empty(len(ids) + 1, dtype="<u4")
+                    whole[:-1], whole[-1] = ids, end_id
                     for k, begin in enumerate(range(0, len(whole), capacity)):
                         part = whole[begin : begin + capacity]
                         take.append(at + i)
