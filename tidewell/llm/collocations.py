@@ -5,7 +5,8 @@ phrases of ``k`` words as pairs of adjacent phrases of ``k - 1`` words that over
 ones need counting. In each pass the most frequent parts, at most ``RANKS`` of them, are ranked by frequency, and a pair of ranks
 is a cell of a square that is cut into tiles. A task counts a tile that many pairs fall on densely, by ``bincount`` over its
 cells, and the others as sorted coordinates with counts; pairs with an unranked part are sorted coordinates of their
-words' numbers. Tasks send sums, which are added up; frequent pairs become the parts of the next pass and are ranked anew.
+words' numbers. Tasks send sums, as sorted blocks by digest that are added up block by block; frequent pairs become the parts of the next
+pass and are ranked anew.
 
 What a task needs of the pass before is bounded: the ranked parts, and a bitmap of at most 2 ** ``BITS`` bits of the frequent
 ones. A fuller bitmap lets more pairs through that turn out to be rare, and loses none. A phrase is told apart by its words'
@@ -38,8 +39,10 @@ MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 #: Ranked parts, the side of a tile in ranks, and the tiles a task counts densely at a time.
 RANKS, TILE, DENSE = 1 << 14, 1 << 9, 16
 #: Words, codes and phrases a task holds before it sends them on.
-HELD = 1 << 18
+HELD = 1 << 19
 BITS = 27
+#: Counts are sent in 2 ** BLOCK_BITS blocks.
+BLOCK_BITS = 12
 
 # Kind of each byte: 0 between words, 2 between pieces, 1 in a word.
 _KIND = np.ones(256, dtype=np.int8)
@@ -121,7 +124,7 @@ def count_words(docs: DataFrame, held: int = HELD) -> DataFrame:
                         else:
                             counts[w] = c
                             names[w] = lang[row[i]], data[starts[i] : ends[i]].tobytes()
-                    if len(counts) >= held:
+                    if len(counts) >= held // 2:
                         yield flush()
         yield flush()
 
@@ -239,19 +242,27 @@ class Parts:
         return np.where((self.sorted[at] == h) & (self.words[rank] == words).all(axis=1), rank, -1)
 
 
-def _pairs(parts: Parts, k: int, ranks: int, tile: int, dense: int, held: int):
-    names = ["ranked", *(f"p{i}" for i in range(1, k + 1)), "n"]
+def _blocks(words: np.ndarray, n: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Phrases with their counts as rows (block, counts): a block holds the phrases of one digest prefix, sorted, each as its words' numbers and
+    its count, eight bytes each."""
+    for at in range(0, len(n), 1 << 18):
+        some, counts = words[at : at + (1 << 18)], n[at : at + (1 << 18)]
+        h = phrase_numbers(some)
+        order = np.argsort(h, kind="stable")
+        block = (h[order] >> np.uint64(64 - bits)).astype(np.int32)
+        records = np.concatenate([some[order].view(np.int64), counts[order, None]], axis=1)
+        head = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        ends = [*head[1:].tolist(), len(block)]
+        yield pa.record_batch({
+            "block": pa.array(block[head]), "counts": pa.array([records[i:j].tobytes() for i, j in zip(head.tolist(), ends)], pa.binary()),
+        })
 
-    def made(ranked: bool, columns: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(n), 50_000):
-            part = slice(at, at + 50_000)
-            yield pa.record_batch(
-                [pa.array(np.full(len(n[part]), ranked)), *(pa.array(c[part].view(np.int64)) for c in columns), pa.array(n[part])], names=names
-            )
 
+def _pairs(parts: Parts, k: int, ranks: int, tile: int, dense: int, held: int, bits: int):
     def of_cells(codes: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        zeros = [np.zeros(len(codes), dtype=np.int64)] * (k - 2)
-        return made(True, [codes // ranks, codes % ranks, *zeros], n)
+        a, b = codes // ranks, codes % ranks
+        if len(codes):
+            yield from _blocks(np.concatenate([parts.words[a], parts.words[b][:, -1:]], axis=1), n, bits)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = Tiles(ranks, tile, dense, held)
@@ -282,36 +293,58 @@ def _pairs(parts: Parts, k: int, ranks: int, tile: int, dense: int, held: int):
                     if waiting >= held:
                         coo, more, waiting = gathered(), [], 0
                         if len(coo[1]) >= held:
-                            yield from made(False, list(coo[0].T.copy()), coo[1])
+                            yield from _blocks(*coo, bits)
                             coo = (coo[0][:0], coo[1][:0])
         for codes, n in tiles.rest():
             yield from of_cells(codes, n)
         rows, n = gathered()
-        yield from made(False, list(rows.T.copy()), n)
+        if len(n):
+            yield from _blocks(rows, n, bits)
 
     return of_batches
 
 
-def count_pairs(docs: DataFrame, parts: Parts, k: int, min_count: int, ranks: int, tile: int, dense: int, held: int) -> DataFrame:
-    """h, ws (the words' numbers) and n of every phrase of ``k`` words that occurs ``min_count`` times."""
-    columns = ["ranked", *(f"p{i}" for i in range(1, k + 1))]
-    schema = ", ".join(f"{c} {'boolean' if c == 'ranked' else 'long'}" for c in columns)
-    counted = _rows(docs).mapInArrow(_pairs(parts, k, ranks, tile, dense, held), f"{schema}, n long")
-    frequent = counted.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+def _totals(k: int, min_count: int, held: int):
+    """The task that adds up blocks, which come sorted, one at a time: it holds the phrases of one block and ``held`` records more."""
+    def frequent(words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        words, n = words[n >= min_count], n[n >= min_count]
+        offsets = pa.array(np.arange(len(words) + 1, dtype=np.int32) * k)
+        return pa.record_batch({
+            "h": pa.array(phrase_numbers(words).view(np.int64)),
+            "ws": pa.ListArray.from_arrays(offsets, pa.array(words.reshape(-1).view(np.int64))), "n": pa.array(n),
+        })
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = np.stack([batch[c].to_numpy().view(np.uint64) for c in columns[1:]], axis=1)
-            ranked = np.array(batch["ranked"].to_pylist(), dtype=bool)
-            a, b = words[ranked, 0].astype(np.int64), words[ranked, 1].astype(np.int64)
-            words[ranked] = np.concatenate([parts.words[a], parts.words[b][:, -1:]], axis=1)
-            offsets = pa.array(np.arange(len(words) + 1, dtype=np.int32) * k)
-            yield pa.record_batch({
-                "h": pa.array(phrase_numbers(words).view(np.int64)),
-                "ws": pa.ListArray.from_arrays(offsets, pa.array(words.reshape(-1).view(np.int64))), "n": batch["n"],
-            })
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, records, size = None, [np.empty((0, k + 1), dtype=np.int64)], 0
+
+        def added_up() -> np.ndarray:
+            whole = np.concatenate(records)
+            words, n = added_rows(np.ascontiguousarray(whole[:, :k]).view(np.uint64), whole[:, k])
+            return np.concatenate([words.view(np.int64), n[:, None]], axis=1)
 
-    return frequent.mapInArrow(named, "h long, ws array<long>, n long")
+        for batch in batches:
+            for block, counts in zip(batch["block"].to_pylist(), batch["counts"]):
+                if block != now:
+                    whole = added_up()
+                    yield frequent(np.ascontiguousarray(whole[:, :k]).view(np.uint64), whole[:, k])
+                    now, records, size = block, [], 0
+                records.append(np.frombuffer(counts.as_buffer(), dtype=np.int64).reshape(-1, k + 1))
+                size += len(records[-1])
+                if size >= held:
+                    records, size = [added_up()], 0
+        whole = added_up()
+        yield frequent(np.ascontiguousarray(whole[:, :k]).view(np.uint64), whole[:, k])
+
+    return of_partition
+
+
+def count_pairs(
+    docs: DataFrame, parts: Parts, k: int, min_count: int, ranks: int, tile: int, dense: int, held: int, bits: int = BLOCK_BITS
+) -> DataFrame:
+    """h, ws (the words' numbers) and n of every phrase of ``k`` words that occurs ``min_count`` times. Tasks send blocks by digest, and a
+    phrase is in each at most once a flush, so blocks are even however often a phrase occurs."""
+    counted = _rows(docs).mapInArrow(_pairs(parts, k, ranks, tile, dense, held, bits), "block int, counts binary")
+    return counted.repartition("block").sortWithinPartitions("block").mapInArrow(_totals(k, min_count, held), "h long, ws array<long>, n long")
 
 
 def ranked_parts(frequent: DataFrame, ranks: int, max_bits: int = BITS) -> Parts:
