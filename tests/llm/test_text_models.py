@@ -38,9 +38,21 @@ def test_counts_equal_the_library(library):
 
 
 def test_words_are_forgotten_without_harm(library, monkeypatch):
-    monkeypatch.setattr(token_counts, "MAX_WORDS", 40)
+    monkeypatch.setattr(token_counts, "MEMORY", 40 * token_counts.ENTRY)
     counter, texts = token_counts.WordCounts(PATH), odd_strings(300)
     assert [counter.counts([t])[0] for t in texts] == list(map(len, ids_of(library, texts)))
+    assert len(counter.known) + len(counter.older) < 300
+
+
+def test_long_words_are_not_remembered(library):
+    """A table of encoded runs: 100,000 different words of 100 to 300 letters."""
+    rnd = random.Random(4)
+    counter = token_counts.WordCounts(PATH)
+    for _ in range(100):
+        words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randrange(100, 300))) for _ in range(1000)]
+        counter.counts(words)
+        assert not counter.known and not counter.older and not counter.held
+    assert counter.counts(words[:50] + ["some words"]) == list(map(len, ids_of(library, words[:50] + ["some words"])))
 
 
 def test_the_cache_is_asked_first(spark, odd_docs, library):
@@ -112,7 +124,7 @@ def test_long_texts_are_cut_where_words_end(library, monkeypatch):
 
 
 def test_words_known_are_bounded(library, monkeypatch):
-    monkeypatch.setattr(bpe, "MAX_WORDS", 50)
+    monkeypatch.setattr(bpe, "MEMORY", 50 * bpe.ENTRY)
     coder, texts = bpe.Encoder(PATH), odd_strings(500, seed=3)
     assert [coder.encode(t) for t in texts] == ids_of(library, texts)
     assert len(coder.words) < 200

@@ -16,6 +16,7 @@ empty table gives no row and appends nothing; other columns are ignored.
 """
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -31,14 +32,20 @@ from tidewell.llm.pretokens import pattern, plain_byte_level
 from tidewell.scratch import scratch_dir, stored
 
 CACHE = "digest string, tokenizer string, n_tokens long"
-#: Words a task remembers; past it, the older half of what it knows is let go.
-MAX_WORDS = 1_500_000
+#: Bytes of words a task process remembers in each of two halves, what an entry takes beside its word, and the longest word.
+MEMORY, ENTRY, LONG_WORD = 64 << 20, 150, 96
+
+
+def _one_thread() -> None:
+    """The tasks are the threads."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
 class TextCounts:
     """Token counts of texts as the file's library gives them for whole texts."""
 
     def __init__(self, path: str):
+        _one_thread()
         if path.endswith(".model"):
             import sentencepiece
 
@@ -57,9 +64,10 @@ class TextCounts:
 
 
 class WordCounts:
-    """Token counts of texts under a plain byte-level file, remembering words."""
+    """Token counts of texts under a plain byte-level file, remembering words that are not long, in two halves of bounded bytes."""
 
     def __init__(self, path: str):
+        _one_thread()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -67,7 +75,9 @@ class WordCounts:
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.words = Memory()
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.held = 0
 
     def counts(self, texts: list[str]) -> list[int]:
         cut = pattern().findall
@@ -76,30 +86,21 @@ class WordCounts:
             parts = self.special.split(text) if self.special else [text]
             extra.append(len(parts) - 1)
             rows.append(cut(text) if len(parts) == 1 else [w for part in parts for w in cut(part)])
-        missing = self.words.recall(set(chain.from_iterable(rows)))
+        new = set(chain.from_iterable(rows)) - self.known.keys()
+        missing = [w for w in new if w not in self.older]
+        self.known |= {w: self.older[w] for w in new if w in self.older}
         codes = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.words.update(zip(missing, map(len, codes)))
-        look = self.words.__getitem__
-        return [sum(map(look, row)) + n for row, n in zip(rows, extra)]
-
-
-class Memory(dict):
-    """What is known by string. When full, it keeps the newer half and forgets the rest when that is full again."""
-
-    older: dict = {}
-
-    def recall(self, wanted: set[str]) -> list[str]:
-        """Make ready what is known of ``wanted``, and return what is not."""
-        if len(self) > MAX_WORDS // 2:
-            self.older = dict(self)
-            self.clear()
-        missing = []
-        for key in wanted - self.keys():
-            if key in self.older:
-                self[key] = self.older[key]
+        self.known |= zip(missing, map(len, codes))
+        look = self.known.__getitem__
+        found = [sum(map(look, row)) + n for row, n in zip(rows, extra)]
+        for word in new:
+            if len(word) > LONG_WORD:
+                del self.known[word]
             else:
-                missing.append(key)
-        return missing
+                self.held += len(word) + ENTRY
+        if self.held > MEMORY:
+            self.older, self.known, self.held = self.known, {}, 0
+        return found
 
 
 @cache
