@@ -47,14 +47,14 @@ def test_similarity_join_finds_every_block(spark, threshold):
 
     rnd = random.Random(threshold)
     vocabulary = [f"w{i}" for i in range(12)]
-    templates = [(f"t{i}", " ".join(rnd.sample(vocabulary, rnd.randint(1, 9)))) for i in range(15)]
+    templates = [license_scan.Template(f"t{i}", " ".join(rnd.sample(vocabulary, rnd.randint(1, 9)))) for i in range(15)]
     lines = [" ".join(rnd.choices(vocabulary + ["x"], k=rnd.randint(0, 12))) for _ in range(300)]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     found = license_scan.scan_licenses(docs, {"no such phrase": "none"}, templates, threshold).collect()
     got = {r["doc_id"]: (r["labels"], round(r["score"], 9)) for r in found}
     for i, line in enumerate(lines):
         words, best = set(line.split()), {}
-        for label, text in templates:
+        for label, text, _ in templates:
             t = set(text.split())
             if len(words & t) >= threshold * len(t) - 1e-9:
                 best[label] = len(words & t) / len(t)
@@ -70,7 +70,7 @@ def labels_of(spark, texts):
 def test_wrapped_notices_are_found(spark):
     import textwrap
 
-    full = {label: text for label, text in license_scan.TEMPLATES if len(text) > 80}
+    full = {t.label: t.text for t in license_scan.TEMPLATES if len(t.text) > 80}
     assert {"mit", "bsd", "gpl", "cc0", "apache-2.0"} <= set(full)
     for width in (30, 50, 72):
         for lead in ("", "# ", " * "):
@@ -85,7 +85,7 @@ def test_wrapped_notices_are_found(spark):
 
 
 def test_neighbouring_licenses_are_not_taken_for_one_another(spark):
-    own = {text: label for label, text in license_scan.TEMPLATES}
+    own = {t.text: t.label for t in license_scan.TEMPLATES}
     found = dict(zip(own, (set(x.split(",")) for x in labels_of(spark, list(own)))))
     assert all(label in found[text] for text, label in own.items())
     others = [
@@ -103,6 +103,51 @@ def test_neighbouring_licenses_are_not_taken_for_one_another(spark):
     assert labels_of(spark, wordings) == ["cc-by-nc-4.0", "gpl,gpl-3.0"]
 
 
+def test_own_templates_bring_their_required_words(spark):
+    templates = [license_scan.Template("x", "one two three four five", (("two", "zwei"), ("five",)))]
+    docs = spark.createDataFrame(
+        [(0, "one two three four five"), (1, "one three four five"), (2, "one zwei three four five"), (3, "one two three four"),
+         (4, "one three\nfour five zwei")], "doc_id long, text string",
+    )
+    found = license_scan.scan_licenses(docs, {}, templates).orderBy("doc_id").collect()
+    assert [r["labels"] for r in found] == ["x", "", "x", "", "x"]
+
+
+def test_wrapped_and_neighbouring_notices_equal_the_sql(spark):
+    """Random notices: words lost, other words and license names put in, lines broken and paragraphs parted anywhere."""
+    import random
+
+    import duckdb
+    import pandas as pd
+    from rows import same_rows
+
+    rnd = random.Random(11)
+    names = sorted({n for t in license_scan.TEMPLATES for group in t.required for n in group})
+    others = ["apache", "bsd", "lesser", "by-sa", "gnu", "gpl", "3", "4.0", "v2", "and", "the", "MIT", "License", "(c)"]
+
+    def notice():
+        words = rnd.choice(license_scan.TEMPLATES).text.split()
+        words = [w for w in words if rnd.random() > rnd.choice([0, 0.05, 0.2])]
+        for _ in range(rnd.choice([0, 0, 1, 2, 6])):
+            words.insert(rnd.randint(0, len(words)), rnd.choice([*others, *names]))
+        if words and rnd.random() < 0.5:
+            words[rnd.randrange(len(words))] = rnd.choice([*others, *names])
+        gaps = rnd.choice([[" "], [" ", " ", "\n"], [" ", "\n", "\r\n# "], [" "] * 8 + ["\n"], [" "] * 8 + ["\n -- \n"]])
+        return "".join(w + rnd.choice(gaps) for w in words)
+
+    texts = [rnd.choice(["", "\n", "\n\n", ". "]).join(notice() for _ in range(rnd.choice([1, 1, 2, 3]))) for _ in range(1500)]
+    texts += [None, "", "\n", "\n\n", texts[0]]
+    # A name alone on its line counts for the passage it stands in.
+    texts.append(license_scan.TEMPLATES[6].text.replace("GNU General Public License", "GNU\nGPL\n"))
+    rows = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    con = duckdb.connect()
+    con.register("documents", rows)
+    got = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    same_rows(got, con.sql(license_scan.ORACLE))
+    found = {label for r in got.collect() for label in r["labels"].split(",")}
+    assert {t.label for t in license_scan.TEMPLATES} <= found
+
+
 def test_license_scan_of_nothing(no_docs):
     assert license_scan.scan_licenses(no_docs).collect() == []
 

@@ -1,12 +1,12 @@
 r"""License scan: phrases at their places, and an exact set-similarity join with license templates.
 
 The join finds every text block whose words hold at least ``threshold`` of a template's distinct words. A block is a line,
-as in ``ORACLE``, or a passage of a paragraph of several lines, so notices that are wrapped are found too.
+or a passage of a paragraph of several lines, so notices that are wrapped are found too.
 Template words are ordered by how many blocks of the whole corpus hold them, rarest first. A block that meets
 the threshold ``need = ceil(threshold * size)`` must hold one of the ``size - need + 1`` rarest words of the
 template (prefix filter), must hold ``need`` template words at all (length filter), and the words from the
 first common one on must be able to make up ``need`` (positional filter). What is left is counted exactly, and
-must say what names the license (``REQUIRED``), which ``ORACLE`` does not ask for.
+must say what names the license (``Template.required``).
 Only DataFrame functions are used.
 
 Defined cases: NULL text is empty (no words, no labels, score 0); rows equal in doc_id and text are
@@ -17,6 +17,7 @@ template word, which the caller's template list bounds, never one per document.
 
 import math
 import re
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,51 +32,45 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Wordings of public licenses and notices, by label.
+
+
+class Template(NamedTuple):
+    """A wording and its label. ``required``: what a block must say, words side by side, to get the label; of each group one."""
+
+    label: str
+    text: str
+    required: tuple[tuple[str, ...], ...] = ()
+
+
+# Ways to say a version 4.
+BY_4 = ("4", "v4", "version 4", "license 4", "license version 4", "international 4")
+# Wordings of public licenses and notices, by label, and what names them.
 TEMPLATES = [
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("apache-2.0", "you may not use this file except in compliance with the License"),
-    ("apache-2.0", "distributed under the License is distributed on an AS IS BASIS WITHOUT WARRANTIES OR "
-                   "CONDITIONS OF ANY KIND either express or implied"),
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
-            "and associated documentation files"),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the "
-            "GNU General Public License as published by the Free Software Foundation"),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc0", "To the extent possible under law, the author has waived all copyright and related or "
-            "neighboring rights to this work"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-            "provided that the following conditions are met"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License"),
-    ("unlicense", "This is free and unencumbered software released into the public domain"),
-    ("all-rights-reserved", "All rights reserved"),
+    Template("apache-2.0", "Licensed under the Apache License, Version 2.0", (("apache",), ("2",))),
+    Template("apache-2.0", "you may not use this file except in compliance with the License"),
+    Template("apache-2.0", "distributed under the License is distributed on an AS IS BASIS WITHOUT WARRANTIES OR "
+             "CONDITIONS OF ANY KIND either express or implied"),
+    Template("mit", "Released under the MIT License", (("mit",),)),
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+             "and associated documentation files", (("associated",),)),
+    Template("gpl-3.0", "This work is licensed under the GNU General Public License, version 3",
+             (("gnu general public license", "gnu gpl"), ("3", "v3"))),
+    Template("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+             "GNU General Public License as published by the Free Software Foundation",
+             (("gnu general public license", "gnu gpl"),)),
+    Template("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0",
+             (tuple(f"by {nc} {by}" for nc in ("nc", "noncommercial", "non commercial") for by in BY_4),)),
+    Template("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License",
+             (tuple(f"{name} {by}" for name in ("attribution", "by") for by in (*BY_4, "international license 4")),)),
+    Template("cc0", "To the extent possible under law, the author has waived all copyright and related or "
+             "neighboring rights to this work"),
+    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+             "provided that the following conditions are met"),
+    Template("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License", (("mozilla",),)),
+    Template("unlicense", "This is free and unencumbered software released into the public domain", (("unencumbered",),)),
+    Template("all-rights-reserved", "All rights reserved"),
 ]
 THRESHOLD = 0.8
-# What a block must say, words side by side, for a template's label: of each group one. Templates by their text.
-REQUIRED = {
-    "Licensed under the Apache License, Version 2.0": [["apache"], ["2"]],
-    "Released under the MIT License": [["mit"]],
-    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
-    "and associated documentation files": [["associated"]],
-    "This work is licensed under the GNU General Public License, version 3": [
-        ["gnu general public license", "gnu gpl"], ["3", "v3"],
-    ],
-    "This program is free software: you can redistribute it and/or modify it under the terms of the "
-    "GNU General Public License as published by the Free Software Foundation": [["gnu general public license", "gnu gpl"]],
-    "Licensed under CC BY-NC 4.0": [
-        [f"by {nc} {by}" for nc in ("nc", "noncommercial", "non commercial")
-         for by in ("4", "v4", "version 4", "license 4", "license version 4", "international 4")],
-    ],
-    "This work is licensed under a Creative Commons Attribution 4.0 International License": [
-        [f"{name} {by}" for name in ("attribution", "by")
-         for by in ("4", "v4", "version 4", "license 4", "license version 4", "international 4", "international license 4")],
-    ],
-    "This Source Code Form is subject to the terms of the Mozilla Public License": [["mozilla"]],
-    "This is free and unencumbered software released into the public domain": [["unencumbered"]],
-}
 # Fixed value: what lies between two words.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -101,8 +96,8 @@ def lowered(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Words of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased."""
-    return F.filter(F.split(lowered(text), GAP, -1), lambda w: w != "")
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a lower-cased text."""
+    return F.array_remove(F.split(text, GAP, -1), "")
 
 
 def phrase_places(ws: Column, phrase: str) -> Column:
@@ -125,13 +120,31 @@ def phrase_hits(ws: Column, phrases: dict[str, str]) -> Column:
         return F.when(F.size(ws) >= len(phrase.split()), found).otherwise(no_hits())
 
     hits = [places(phrase, label) for phrase, label in phrases.items()]
-    return F.concat(*hits)
+    return F.concat(no_hits(), *hits)
+
+
+def may_hold(text: Column, phrases: dict[str, str]) -> Column:
+    """Whether a lower-cased text has some phrase's words side by side, if only as parts of words: all others need no
+    search by position. Looks for each word by itself first, which is much cheaper."""
+    maybe = F.lit(False)
+    for phrase in phrases:
+        parts = phrase.split()
+        each = F.lit(True)
+        for part in parts:
+            each = each & F.contains(text, F.lit(part))
+        maybe = maybe | (each & F.rlike(text, F.lit(GAP.join(map(re.escape, parts)))))
+    return maybe
 
 
 def needed(text: str, threshold: float) -> int:
     return math.ceil(threshold * len(template_words(text)) - 1e-9)
 
 
+def span(text: str, threshold: float) -> int:
+    """The words of the longest passage of which a template's words make up the threshold."""
+    return math.ceil(sum(w != "" for w in re.split(GAP, text)) / threshold)
+
+
 def block(ws: Column, vocabulary: list[str], names: list[str], least: int) -> Column:
     """The distinct template words among a block's words, and the names it says if it can hold a template at all."""
     said = lambda: let(
@@ -145,16 +158,16 @@ def block(ws: Column, vocabulary: list[str], names: list[str], least: int) -> Co
 
 
 def wrapped_blocks(
-    text: Column, lines: Column, vocabulary: list[str], names: list[str], least: int, templates, threshold: float
+    text: Column, lines: Column, vocabulary: list[str], names: list[str], least: int, templates: list[Template], threshold: float
 ) -> Column:
-    """``block`` of each passage in a paragraph of several lines that holds a template. A passage has at
-    most the template's words and a part of others that brings it down to the threshold."""
+    """``block`` of each passage in a paragraph of several lines that holds a template. A passage starts with a word of the
+    template and has at most ``span`` words."""
     kinds = F.array(*[
         F.struct(
-            F.array(*map(F.lit, template_words(t))).alias("words"), F.lit(needed(t, threshold)).alias("need"),
-            F.lit(math.ceil(sum(w != "" for w in re.split(GAP, t)) / threshold)).alias("span"),
+            F.array(*map(F.lit, template_words(t.text))).alias("words"), F.lit(needed(t.text, threshold)).alias("need"),
+            F.lit(span(t.text, threshold)).alias("span"),
         )
-        for _, t in templates
+        for t in templates
     ])
     holds = lambda ws, t: F.size(F.array_intersect(ws, t["words"])) >= t["need"]
 
@@ -171,37 +184,37 @@ def wrapped_blocks(
     found = F.transform(F.flatten(F.transform(paragraphs, of_paragraph)), lambda ws: block(ws, vocabulary, names, least))
     # Most documents do not hold a template's words even all lines together.
     some = let(F.array_distinct(F.flatten(lines["words"])), lambda ws: F.exists(kinds, lambda t: holds(ws, t)))
-    return F.when((F.size(lines) > 1) & some, F.array_distinct(found)).otherwise(
+    return F.when(F.contains(text, F.lit("\n")) & some, F.array_distinct(found)).otherwise(
         F.array().cast("array<struct<words:array<string>,names:array<string>>>")
     )
 
 
-def scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str], templates, threshold: float) -> DataFrame:
+def scan(
+    docs: DataFrame, phrases: dict[str, str], vocabulary: list[str], templates: list[Template], threshold: float
+) -> DataFrame:
     """Per document: word count, phrase hits, and of each line and each wrapped passage the distinct template words."""
-    text = text_or_empty()
-    # A text without some phrase's words in any order of letter case needs no search by position.
-    maybe = F.lit(False)
-    for phrase in phrases:
-        maybe = maybe | F.col("text").rlike("(?i)" + GAP.join(map(re.escape, phrase.split())))
-    found = let(words(F.col("text")), lambda ws: F.struct(
-        F.size(ws).cast("long").alias("n_words"),
-        F.when(maybe, phrase_hits(ws, phrases)).otherwise(no_hits()).alias("hits"),
+    names = sorted({n for t in templates for group in t.required for n in group})
+    least = min((needed(t.text, threshold) for t in templates), default=1)
+
+    def of_lines(text: Column, by_line: Column) -> Column:
+        # No word crosses a line end, so the text's words are its lines' words.
+        ws = F.flatten(by_line)
+        held = F.filter(
+            F.transform(by_line, lambda line: block(line, vocabulary, names, least)), lambda b: F.size(b["words"]) > 0
+        )
+        return F.struct(
+            F.aggregate(by_line, F.lit(0).cast("long"), lambda n, line: n + F.size(line)).alias("n_words"),
+            F.when(may_hold(text, phrases), let(ws, lambda w: phrase_hits(w, phrases))).otherwise(no_hits()).alias("hits"),
+            let(held, lambda ls: F.concat(
+                ls, wrapped_blocks(text, ls, vocabulary, names, least, templates, threshold)
+            )).alias("blocks"),
+        )
+
+    found = let(lowered(F.col("text")), lambda low: let(
+        F.transform(F.split(low, "\n", -1), words), lambda by_line: of_lines(low, by_line)
     ))
-    names = sorted({n for _, t in templates for group in REQUIRED.get(t, []) for n in group})
-    least = min((needed(t, threshold) for _, t in templates), default=1)
-    lines = F.filter(
-        F.transform(F.split("text", "\n", -1), lambda line: let(
-            F.split(lowered(line), GAP, -1), lambda ws: block(ws, vocabulary, names, least)
-        )),
-        lambda b: F.size(b["words"]) > 0,
-    )
-    rows = docs.select("doc_id", text.alias("text"), row_key().alias("row_key"))
-    blocks = let(lines, lambda ls: F.concat(ls, wrapped_blocks(
-        F.col("text"), ls, vocabulary, names, least, templates, threshold
-    )))
-    return rows.select("doc_id", "row_key", found.alias("f"), blocks.alias("blocks")).select(
-        "doc_id", "row_key", "f.*", "blocks"
-    )
+    rows = docs.select("doc_id", text_or_empty().alias("text"), row_key().alias("row_key"))
+    return rows.select("doc_id", "row_key", found.alias("f")).select("doc_id", "row_key", "f.*")
 
 
 def word_order(blocks: DataFrame, vocabulary: list[str]) -> list[str]:
@@ -211,18 +224,18 @@ def word_order(blocks: DataFrame, vocabulary: list[str]) -> list[str]:
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
-def template_index(spark: SparkSession, templates, order: list[str], threshold: float) -> DataFrame:
+def template_index(spark: SparkSession, templates: list[Template], order: list[str], threshold: float) -> DataFrame:
     """One row per prefix word of each template: where it stands and what the template needs."""
     place = {w: i for i, w in enumerate(order)}
     rows = []
-    for label, text in templates:
+    for label, text, required in templates:
         ordered = sorted(template_words(text), key=place.__getitem__)
         need = needed(text, threshold)
         rows += [
             F.struct(
                 F.lit(word).alias("word"), F.lit(label).alias("label"),
                 F.array(*map(F.lit, ordered)).alias("template_words"), F.lit(need).alias("need"), F.lit(i).alias("i"),
-                F.array(*[F.array(*map(F.lit, group)) for group in REQUIRED.get(text, [])])
+                F.array(*[F.array(*map(F.lit, group)) for group in required])
                 .cast("array<array<string>>").alias("required"),
             )
             for i, word in enumerate(ordered[: len(ordered) - need + 1])
@@ -230,8 +243,8 @@ def template_index(spark: SparkSession, templates, order: list[str], threshold:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def similarity_join(blocks: DataFrame, templates, order: list[str], threshold: float) -> DataFrame:
-    """(doc_id, row_key, label, containment) of every block that holds ``threshold`` of a template."""
+def similarity_join(blocks: DataFrame, templates: list[Template], order: list[str], threshold: float) -> DataFrame:
+    """(doc_id, row_key, label, containment) of every block that holds ``threshold`` of a template and what it requires."""
     index = template_index(blocks.sparkSession, templates, order, threshold)
     probes = blocks.select("doc_id", "row_key", "words", "names", F.explode("words").alias("word"))
     pairs = probes.join(F.broadcast(index), "word").where(F.size("words") >= F.col("need"))
@@ -251,10 +264,10 @@ def similarity_join(blocks: DataFrame, templates, order: list[str], threshold: f
 
 
 def scan_licenses(
-    docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD
+    docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: list[Template] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
     """One row per document: places of the phrases, labels of phrases and templates, best score."""
-    vocabulary = sorted({w for _, text in templates for w in template_words(text)})
+    vocabulary = sorted({w for t in templates for w in template_words(t.text)})
     scanned = stored(scan(docs, phrases, vocabulary, templates, threshold), "license-scan")
     blocks = scanned.select("doc_id", "row_key", F.explode("blocks").alias("b")).select("doc_id", "row_key", "b.*")
     order = word_order(blocks, vocabulary)
@@ -284,8 +297,10 @@ def _oracle() -> str:
     phrases = " union all ".join(
         f"select {p.split()!r} as p, '{label}' as label" for p, label in PHRASES.items()
     )
-    templates = " union all ".join(
-        f"select {template_words(t)!r} as t, '{label}' as label" for label, t in TEMPLATES
+    kinds = " union all ".join(
+        f"select '{t.label}' as label, {template_words(t.text)!r} as t, {needed(t.text, THRESHOLD)} as need, "
+        f"{span(t.text, THRESHOLD)} as span, {[list(g) for g in t.required]!r}::varchar[][] as required"
+        for t in TEMPLATES
     )
     return rf"""
 with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as x
@@ -295,12 +310,20 @@ p as ({phrases}),
 h as (select doc_id, label, i from (select doc_id, w, p, label, unnest(range(len(w))) as i
         from w, p where contains(x, p[1])) where w[i + 1 : i + len(p)] = p),
 b as (select doc_id, count(*) as n, min(i) as lo, max(i) as hi, list(distinct label) as labels from h group by doc_id),
-t as ({templates}),
-l as (select doc_id, list_distinct(list_filter(regexp_split_to_array(unnest(string_split(x, chr(10))), '{GAP}'),
-        lambda y: y <> '')) as l from d),
-m as (select doc_id, label, len(list_intersect(l, t)) / len(t) as c from l, t
-        where len(list_intersect(l, t)) >= ceil({THRESHOLD} * len(t) - 1e-9)),
-s as (select doc_id, list(distinct label) as labels, max(c) as c from m group by doc_id)
+t as ({kinds}),
+l as (select doc_id, list_filter(regexp_split_to_array(unnest(string_split(x, chr(10))), '{GAP}'), lambda y: y <> '') as l from d),
+q as (select doc_id, list_filter(regexp_split_to_array(paragraph, '{GAP}'), lambda y: y <> '') as q
+  from (select doc_id, unnest(regexp_split_to_array(x, '{PARAGRAPH}')) as paragraph from d where contains(x, chr(10)))
+  where contains(paragraph, chr(10))),
+v as (select doc_id, q[i : i + span - 1] as l, t, need
+  from (select doc_id, q, t, need, span, unnest(range(1, len(q) + 1)) as i from q, t where len(list_intersect(q, t)) >= need)
+  where list_contains(t, q[i])),
+k as (select doc_id, l from l union all select doc_id, l from v where len(list_intersect(l, t)) >= need),
+m as (select doc_id, label, len(list_intersect(l, t)) / len(t) as c, required, ' ' || array_to_string(l, ' ') || ' ' as said
+  from k, t where len(list_intersect(l, t)) >= need),
+s as (select doc_id, list(distinct label) as labels, max(c) as c from m
+  where len(list_filter(required, lambda g: len(list_filter(g, lambda n: contains(said, ' ' || n || ' '))) = 0)) = 0
+  group by doc_id)
 select w.doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_base, lo::bigint as first_word, hi::bigint as last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') as base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(s.labels, [])))), ','), '')
