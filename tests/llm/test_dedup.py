@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -262,6 +263,19 @@ def test_any_benchmark_size_gives_the_same_rows(spark, sf_dir):
     assert sorted(decontamination.contaminated(docs, benchmark, bits=6).drop("key").collect()) == full
 
 
+@pytest.mark.parametrize("n", [3, 1000, 300_000])
+def test_few_hashes_pass_the_filter_by_chance(spark, n):
+    rnd = np.random.default_rng(n)
+    known, others = (rnd.integers(0, 1 << 64, size, dtype=np.uint64) for size in (n, 200_000))
+    bits = decontamination.filter_bits(n)
+    assert decontamination.PER_WINDOW * n <= 1 << bits < 2 * decontamination.PER_WINDOW * n
+    rows = spark.createDataFrame(pd.DataFrame({"template": known.view(np.int64)}))
+    filled = decontamination.bloom_filter(rows, bits)
+    pass_ = lambda h: len(decontamination.passing(h, np.arange(len(h)), filled, bits))
+    assert pass_(known) == n and pass_(others) < 0.01 * len(others)
+    assert decontamination.filter_bits(0) == 6 and decontamination.filter_bits(1 << 40) == decontamination.MOST_BITS
+
+
 def plain_hits(docs, benchmark, n=13):
     words = lambda s: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), s or ""))
     grams = lambda s: {tuple(w[i : i + n]) for w in [words(s)] for i in range(len(w) - n + 1)}

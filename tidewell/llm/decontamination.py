@@ -15,9 +15,10 @@ replacement of values leads from one to the other, that is, if the same slots ho
 pattern of equal slots goes into the window's hash, so inconsistent windows never meet, and a template that fills
 half the benchmark is one row of the join.
 
-What a task needs of the benchmark to leave out windows that match nothing is a bitmap of fixed size (2 ** ``BITS``
-bits), whatever the benchmark's size; what passes it is then joined exactly, on 64-bit hashes. A larger benchmark
-sends more chance hits into the join, never fewer matches.
+What a task needs of the benchmark to leave out windows that match nothing is a Bloom filter over template hashes, sized by the
+number of windows: ``PER_WINDOW`` bits each, of which ``PROBES`` are looked at, so about one window in 400 passes by chance. It takes
+2 ** ``MOST_BITS`` bits (32 MB) at most, enough for 16 million windows; a larger benchmark sends more chance hits into the
+join, never fewer matches. What passes is joined exactly, on 64-bit hashes.
 
 Defined cases: NULL or blank texts have no windows; an item shorter than a window but of at least ``shortest`` words (in PLAIN any number, as above) is one
 window of its length; windows in which fewer than half the words are literals say too little for
@@ -37,7 +38,10 @@ from tidewell.llm.word_hashes import KIND, hashes, joined, mixed, pieces, segmen
 from tidewell.scratch import stored
 
 WINDOW, SHORTEST = 13, 6
-BITS = 24
+#: The filter's bits a window, how many of them are looked at, and the most bits it may have (as a power of two).
+PER_WINDOW, PROBES, MOST_BITS = 16, 4, 28
+#: From one looked-at part of a hash to the next.
+SHIFT = 12
 # Units of measure, in lower case.
 UNITS = """
 mm cm dm m km inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers kilometre
@@ -114,18 +118,24 @@ def _canonical(words: tuple[np.ndarray, ...], form: int) -> tuple[np.ndarray, np
     return row[head], np.where(slot, kind, value[head]), np.where(slot, mixed(total + kind), np.uint64(0)), slot
 
 
-def _template_hashes(word: np.ndarray, slot: np.ndarray, size: int, form: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every window of ``size`` canonical words, slots by their kind, and whether it says enough."""
-    n = len(word) - size + 1
-    h = np.zeros(n, dtype=np.uint64)
-    for k in range(size):
-        h = h * _STEP + word[k : k + n]
+def _template_hashes(
+    word: np.ndarray, slot: np.ndarray, sizes: list[int], form: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each size, from small to large: the size, the hash of every window of so many canonical words, slots by their
+    kind, and whether it says enough. Each size goes on where the one before it stopped."""
+    h, done = np.zeros(len(word), dtype=np.uint64), 0
     slots = np.concatenate([[0], np.cumsum(slot)])
-    return mixed(h + np.uint64(size + 1000 * form)), 2 * (slots[size:] - slots[:-size]) <= size
+    for size in sizes:
+        if size > len(word):
+            return
+        for k in range(done, size):
+            h = h[: len(word) - k] * _STEP + word[k:]
+        done = size
+        yield size, mixed(h + np.uint64(size + 1000 * form)), 2 * (slots[size:] - slots[:-size]) <= size
 
 
 def _window_hashes(h: np.ndarray, at: np.ndarray, value: np.ndarray, slot: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the windows that start ``at``, their pattern of equal slots included; the last ``BITS`` bits are those of ``h``."""
+    """Hash of the windows that start ``at``, their pattern of equal slots included."""
     h = h[at]
     open_ = np.lib.stride_tricks.sliding_window_view(slot, size)[at]
     several = np.flatnonzero(open_.sum(axis=1) > 1)
@@ -136,8 +146,7 @@ def _window_hashes(h: np.ndarray, at: np.ndarray, value: np.ndarray, slot: np.nd
         for k in range(size):
             equal = (values[:, : k + 1] == values[:, k : k + 1]) & open_[:, : k + 1]
             pattern = pattern * _STEP + np.where(open_[:, k], equal.argmax(axis=1) + 1, 0).astype(np.uint64)
-        last = np.uint64((1 << BITS) - 1)
-        h[several] = h[several] & last | mixed(h[several] ^ mixed(pattern)) & ~last
+        h[several] = mixed(h[several] ^ mixed(pattern))
     return h
 
 
@@ -182,8 +191,8 @@ def canonical_texts(texts: list[str | None], form: int = 0) -> Iterator[tuple[np
 def _item_windows(window: int, shortest: int, forms: tuple[int, ...]):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # Item, hash, size and form.
-            found = [np.empty((4, 0), dtype=np.int64)]
+            # Item, hash, hash of the template, size and form.
+            found = [np.empty((5, 0), dtype=np.int64)]
             for words in _texts(batch["text"].to_pylist()):
                 for form in forms:
                     row, word, value, slot = _canonical(words, form)
@@ -192,12 +201,15 @@ def _item_windows(window: int, shortest: int, forms: tuple[int, ...]):
                         size = min(window, int(own.sum()))
                         if size < (1 if form == PLAIN else shortest):
                             continue
-                        h, enough = _template_hashes(word[own], slot[own], size, form)
-                        h = _window_hashes(h, np.flatnonzero(enough), value[own], slot[own], size).view(np.int64)
-                        found.append(np.stack([np.full(len(h), r), h, np.full(len(h), size), np.full(len(h), form)]))
-            take, h, size, form = np.concatenate(found, axis=1)
+                        ((_, template, enough),) = _template_hashes(word[own], slot[own], [size], form)
+                        at = np.flatnonzero(enough)
+                        h = _window_hashes(template, at, value[own], slot[own], size).view(np.int64)
+                        template = template[at].view(np.int64)
+                        found.append(np.stack([np.full(len(h), r), h, template, np.full(len(h), size), np.full(len(h), form)]))
+            take, h, template, size, form = np.concatenate(found, axis=1)
             yield pa.record_batch({
-                "item_id": batch["item_id"].take(pa.array(take)), "h": pa.array(h), "size": pa.array(size), "form": pa.array(form),
+                "item_id": batch["item_id"].take(pa.array(take)), "h": pa.array(h), "template": pa.array(template),
+                "size": pa.array(size), "form": pa.array(form),
             })
 
     return of_batches
@@ -206,23 +218,23 @@ def _item_windows(window: int, shortest: int, forms: tuple[int, ...]):
 def item_windows(
     benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, forms: tuple[int, ...] = (CANONICAL,)
 ) -> DataFrame:
-    """item_id, h, size and form of every window: which items a window stands for."""
+    """item_id, h, template, size and form of every window: which items a window stands for."""
     kind = benchmark.schema["item_id"].dataType.simpleString()
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_item_windows(window, shortest, forms), f"item_id {kind}, h long, size long, form long")
+    return rows.mapInArrow(_item_windows(window, shortest, forms), f"item_id {kind}, h long, template long, size long, form long")
 
 
 def benchmark_windows(
     benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, forms: tuple[int, ...] = (CANONICAL,)
 ) -> DataFrame:
-    """h, size, form, the items that have the window, the smallest item_id among them, and how many there are."""
-    return item_windows(benchmark, window, shortest, forms).groupBy("h", "size", "form").agg(
+    """h, template, size, form, the items that have the window, the smallest item_id among them, and how many there are."""
+    return item_windows(benchmark, window, shortest, forms).groupBy("h", "template", "size", "form").agg(
         F.min("item_id").alias("item_id"), F.collect_set("item_id").alias("items")
     ).withColumn("n_items", F.size("items").cast("long"))
 
 
-def bitmap(windows: DataFrame, bits: int = BITS) -> np.ndarray:
-    """One bit for each of the last ``bits`` bits of a hash that occurs. At most 2 ** (bits - 6) rows reach the driver."""
+def bitmap(windows: DataFrame, bits: int) -> np.ndarray:
+    """One bit for each of the last ``bits`` bits of an ``h`` that occurs. At most 2 ** (bits - 6) rows reach the driver."""
     at = F.col("h").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
     words = windows.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63).cast("long")).cast("int").alias("bit"))
     found = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("set")).toPandas()
@@ -231,39 +243,49 @@ def bitmap(windows: DataFrame, bits: int = BITS) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def filter_bits(n_windows: int) -> int:
+    """The filter's size for so many windows, as a power of two."""
+    return min(MOST_BITS, max(6, (PER_WINDOW * n_windows - 1).bit_length()))
+
+
+def bloom_filter(windows: DataFrame, bits: int) -> np.ndarray:
+    """A filter of the templates' hashes: of each the bits from 0, ``SHIFT``, 2 * ``SHIFT``... on."""
+    probes = F.array(*[F.shiftrightunsigned("template", SHIFT * k) for k in range(PROBES)])
+    return bitmap(windows.select(F.explode(probes).alias("h")), bits)
+
+
+def passing(h: np.ndarray, at: np.ndarray, filled: np.ndarray, bits: int) -> np.ndarray:
+    """Those places ``at`` whose hash passes the filter."""
+    for k in range(PROBES):
+        place = (h[at] >> np.uint64(SHIFT * k)) & np.uint64((1 << bits) - 1)
+        at = at[(filled[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0]
+    return at
+
+
 def _whole_sentences(inside: np.ndarray, size: int) -> np.ndarray:
     """For each window whether it begins and ends with a sentence, a line or the text. ``inside``: whether a word goes on a sentence."""
     ends = np.r_[~inside[1:], True]
     return ~inside[: len(inside) - size + 1] & ends[size - 1 :]
 
 
-def _document_windows(filled: np.ndarray, sizes: list[tuple[int, int]], bits: int, shortest: int):
-    last = np.uint64((1 << bits) - 1)
-
+def _document_windows(filled: np.ndarray, sizes: dict[int, list[int]], bits: int, shortest: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, hits = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
             for at in range(0, batch.num_rows, 1024):
                 for words in _texts(batch["text"].slice(at, 1024).to_pylist()):
-                    made = -1
-                    for form, size in sizes:
-                        if form != made:
-                            row, word, value, slot = _canonical(words, form)
-                            made = form
-                        if len(word) < size:
-                            continue
-                        h, enough = _template_hashes(word, slot, size, form)
-                        place = h & last
-                        hit = (filled[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0
-                        hit &= enough & (row[: len(h)] == row[size - 1 :])
-                        if form == PLAIN and size < shortest:
-                            hit &= _whole_sentences(words[4], size)
-                        # A window said again and again in one text counts once.
-                        where = np.flatnonzero(hit)
-                        full = _window_hashes(h, where, value, slot, size).view(np.int64)
-                        pairs = np.unique(np.stack([row[where] + at, full]), axis=1)
-                        rows.append(pairs[0])
-                        hits.append(pairs[1])
+                    for form in sizes:
+                        row, word, value, slot = _canonical(words, form)
+                        for size, h, enough in _template_hashes(word, slot, sizes[form], form):
+                            hit = enough & (row[: len(h)] == row[size - 1 :])
+                            if form == PLAIN and size < shortest:
+                                hit &= _whole_sentences(words[4], size)
+                            where = passing(h, np.flatnonzero(hit), filled, bits)
+                            full = _window_hashes(h, where, value, slot, size).view(np.int64)
+                            # A window said again and again in one text counts once.
+                            pairs = np.unique(np.stack([row[where] + at, full]), axis=1)
+                            rows.append(pairs[0])
+                            hits.append(pairs[1])
             take = pa.array(np.concatenate(rows))
             yield pa.record_batch({
                 "doc_id": batch["doc_id"].take(take), "key": batch["key"].take(take),
@@ -274,18 +296,23 @@ def _document_windows(filled: np.ndarray, sizes: list[tuple[int, int]], bits: in
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, bits: int = BITS,
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, bits: int | None = None,
     forms: tuple[int, ...] = (CANONICAL,),
 ) -> DataFrame:
     """doc_id, key, item_id, item_ids, and the number of distinct windows they share, for every document and item that share one in
     any of the forms. Windows are counted in the first form that they share one in. Windows of several items count for the
-    smallest; item_ids lists all that have one of these windows, sorted and comma-joined."""
+    smallest; item_ids lists all that have one of these windows, sorted and comma-joined. ``bits``: the filter's size as a
+    power of two, by default what the number of windows asks for."""
     windows = stored(benchmark_windows(benchmark, window, shortest, forms), "benchmark-windows")
-    sizes = [tuple(row) for row in windows.select("form", "size").distinct().orderBy("form", "size").collect()]
+    sizes = {
+        row["form"]: sorted(row["sizes"])
+        for row in windows.groupBy("form").agg(F.collect_set("size").alias("sizes")).orderBy("form").collect()
+    }
+    bits = bits or filter_bits(windows.count())
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", document_key().alias("key"), F.col("text").cast("string").alias("text"))
     passed = rows.mapInArrow(
-        _document_windows(bitmap(windows, bits), sizes, bits, shortest), f"doc_id {kind}, key string, h long"
+        _document_windows(bloom_filter(windows, bits), sizes, bits, shortest), f"doc_id {kind}, key string, h long"
     )
     # On the document side a hot passage is split by Spark; the other side has each window once.
     found = stored(passed, "document-windows").join(windows.select("h", "form", "item_id", "items", "n_items"), "h")
