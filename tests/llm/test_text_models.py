@@ -1,11 +1,15 @@
 """Token counts, language identification, quality classifier, BPE."""
 
+import math
 import random
+import re
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -280,6 +284,105 @@ def test_weights_by_brute_force(spark, sf_dir):
         assert r["log_weight"] == pytest.approx(256 * ratio[found].sum() / (len(found) + 64), abs=1e-3)
 
 
+ALL = (1 << 64) - 1
+
+
+def spread(h):
+    h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & ALL
+    h = (h ^ (h >> 27)) * 0x94D049BB133111EB & ALL
+    return h ^ (h >> 31)
+
+
+@cache
+def word_number(word):
+    return spread(sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(word)) & ALL)
+
+
+def buckets_by_force(text):
+    """Buckets of the words and of the pairs of words next to each other, word by word."""
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[!-/:-@[-`{-~]+", (text or "").encode())
+    numbers = [word_number(w) for w in words]
+    pairs = [1 if a == b else spread((b * 3 + a) & ALL) for a, b in zip(numbers, numbers[1:])]
+    return Counter(n % (1 << 16) for n in numbers + pairs)
+
+
+def log_ratio_by_force(some, others):
+    share = sum(some.values()) / sum(others.values())
+    found = {}
+    for bucket in others.keys() | some.keys():
+        log = math.log((some[bucket] + 0.5) / (others[bucket] * share + 0.5))
+        found[bucket] = math.copysign(max(0.0, abs(log) - 2 / math.sqrt(some[bucket] + 0.5)), log)
+    return found
+
+
+def cut_by_force(good, poor):
+    """Tries every value: the shares of good ones at or above it and of poor ones below it; of equals the one above the widest gap."""
+    values = sorted({*good, *poor})
+    tried = [
+        (round(sum(g >= v for g in good) / len(good) + sum(p < v for p in poor) / len(poor), 12), v - below, v)
+        for below, v in zip([values[0], *values], values)
+    ]
+    _, gap, value = max(tried, key=lambda t: t[:2])
+    return value - gap / 2
+
+
+def noise_by_force(doc_id, text):
+    signed = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    key = f"{doc_id}:{signed - (1 << 64) if signed >> 63 else signed}"
+    seed = xxhash.xxh64_intdigest((7).to_bytes(4, "little"), 42)
+    return -math.log(-math.log(((xxhash.xxh64_intdigest(key.encode(), seed) >> 12) + 0.5) / (1 << 52)))
+
+
+def test_classifier_by_brute_force(spark):
+    """Both weights, both cuts, k, the keys and the verdicts, from plain Python alone."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    kind = {
+        r["doc_id"]: "poor" if r["quality"] != 1 else "toxic" if r["toxic"] else "good"
+        for r in labels.collect() if r["doc_id"] in texts
+    }
+    assert min(Counter(kind.values()).values()) > 20 and len(kind) < len(texts)
+    grams = {d: buckets_by_force(t) for d, t in texts.items()}
+    total = {name: Counter() for name in ("raw", "good", "toxic", "poor")}
+    for d, found in grams.items():
+        total["raw"].update(found)
+        if d in kind:
+            total[kind[d]].update(found)
+    target = log_ratio_by_force(total["good"], total["raw"])
+    toxic = {b: max(0.0, x) for b, x in log_ratio_by_force(total["toxic"], total["good"]).items()}
+
+    def weight(found, ratio):
+        return 256 * sum(n * ratio.get(b, 0.0) for b, n in found.items()) / (sum(found.values()) + 64)
+
+    weights = {d: (weight(found, target), weight(found, toxic)) for d, found in grams.items()}
+    of = lambda name, which: [weights[d][which] for d in kind if kind[d] == name]
+    cut = cut_by_force(of("good", 0), of("poor", 0))
+    toxic_cut = -cut_by_force([-w for w in of("good", 1)], [-w for w in of("toxic", 1)])
+    keys = {d: weights[d][0] + noise_by_force(d, texts[d]) for d in texts}
+    rest = [d for d in texts if weights[d][1] <= toxic_cut]
+    k = sum(weights[d][0] >= cut for d in rest)
+    kept = set(sorted(rest, key=lambda d: -keys[d])[:k])
+    assert 0 < k < len(rest) < len(texts)
+
+    model, _ = quality_classifier.fit(docs, labels)
+    assert (model.cut, model.toxic_cut) == (pytest.approx(cut, abs=1e-4), pytest.approx(toxic_cut, abs=1e-4))
+    got = quality_classifier.classify(docs, labels).collect()
+    assert {r["doc_id"] for r in got if r["kept"]} == kept and len(got) == len(texts)
+    for r in got:
+        assert r["log_weight"] == pytest.approx(weights[r["doc_id"]][0], abs=1e-4)
+        assert r["sample_key"] == pytest.approx(keys[r["doc_id"]], abs=1e-4)
+    chosen = quality_classifier.select_documents(docs, labels)
+    assert {r["doc_id"] for r in chosen.collect()} == kept
+
+
+def test_documents_tied_at_the_last_key_share_their_fate(spark):
+    docs = spark.createDataFrame([(1, "a good word")] * 3 + [(2, "poor poor rows")] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    judged = quality_classifier.classify(docs, labels).collect()
+    assert len(judged) == 6 and len({(r["doc_id"], r["kept"]) for r in judged}) == 2
+
+
 @pytest.mark.parametrize("k", [1, 17, 5000, 9999, 10_000])
 def test_kth_largest(spark, k):
     values = [random.Random(4).gauss(0, 1) for _ in range(1)] + [random.Random(i).gauss(0, 10) for i in range(9000)] + [1.5] * 999
