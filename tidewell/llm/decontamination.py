@@ -16,8 +16,8 @@ pattern of equal slots goes into the window's hash, so inconsistent windows neve
 half the benchmark is one row of the join.
 
 What a task needs of the benchmark to leave out windows that match nothing is a Bloom filter over template hashes, sized by the
-number of windows: ``PER_WINDOW`` bits each, of which ``PROBES`` are looked at, so about one window in 400 passes by chance. It takes
-2 ** ``MOST_BITS`` bits (32 MB) at most, enough for 16 million windows; a larger benchmark sends more chance hits into the
+number of windows: ``PER_WINDOW`` bits each, of which ``PROBES`` are looked at, so about one window in 5,000 passes by chance. It takes
+2 ** ``MOST_BITS`` bits (32 MB) at most, enough for 8 million windows; a larger benchmark sends more chance hits into the
 join, never fewer matches. What passes is joined exactly, on 64-bit hashes.
 
 Defined cases: NULL or blank texts have no windows; an item shorter than a window but of at least ``shortest`` words (in PLAIN any number, as above) is one
@@ -39,7 +39,7 @@ from tidewell.scratch import stored
 
 WINDOW, SHORTEST = 13, 6
 #: The filter's bits a window, how many of them are looked at, and the most bits it may have (as a power of two).
-PER_WINDOW, PROBES, MOST_BITS = 16, 4, 28
+PER_WINDOW, PROBES, MOST_BITS = 32, 4, 28
 #: From one looked-at part of a hash to the next.
 SHIFT = 12
 # Units of measure, in lower case.
