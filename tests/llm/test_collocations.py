@@ -105,13 +105,43 @@ def test_scores_are_exact_beyond_64_bits(spark):
         assert s == 1000 * a * n // (left * right)
 
 
-def test_two_words_of_one_number_fail(spark):
-    rows = [(1, "en", "one", 2), (1, "en", "one", 3), (2, "en", "two", 1)]
-    names = "w long, lang string, word string, n long"
-    assert sorted(map(tuple, c.summed(spark.createDataFrame(rows, names)).collect())) == [(1, "en", "one", 5), (2, "en", "two", 1)]
-    for other in ((2, "de", "two", 1), (2, "en", "too", 1)):
-        with pytest.raises(Exception, match="two words have one number"):
-            c.summed(spark.createDataFrame([*rows, other], names)).collect()
+def test_words_that_share_a_number_are_counted_apart(spark):
+    rows = [(1, "en", "one", 2), (1, "en", "one", 3), (2, "en", "two", 1), (2, "de", "two", 4), (2, "en", "too", 1), (2, "de", "two", 2)]
+    found = c.summed(spark.createDataFrame(rows, "w long, lang string, word string, n long"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(map(tuple, found.collect())) == [(1, "en", "one", 5, 0), (2, "de", "two", 6, 8), (2, "en", "too", 1, 8), (2, "en", "two", 1, 8)]
+
+
+def test_frequent_words_that_share_a_number_are_numbered_anew(spark, monkeypatch):
+    rows = [(("en", None)[i % 2], some_text(i, 12, 300)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    count_words, seeds = c.count_words, []
+
+    def shared_until(last, n):
+        def counted(docs, held, seed):
+            seeds.append(seed)
+            return count_words(docs, held, seed).withColumn("shared", F.lit(n if seed < last else 0))
+
+        return counted
+
+    # A rare shared number is no part of a frequent phrase, so the first seed stays.
+    for last, n, wanted in ((2, 5, [0, 1, 2]), (2, 4, [0])):
+        seeds.clear()
+        monkeypatch.setattr(c, "count_words", shared_until(last, n))
+        assert rows_of(c.collocations(docs, 5, **SMALL)) == mined(rows, 5) != []
+        assert seeds == wanted
+    monkeypatch.setattr(c, "count_words", shared_until(c.SEEDS, 5))
+    with pytest.raises(ValueError, match="share a number"):
+        c.collocations(docs, 5)
+
+
+def test_seeds_give_other_numbers_to_the_same_words():
+    texts, first = ["one two two Three"], None
+    for seed in range(c.SEEDS):
+        (value, *_), = c.numbers(texts, np.array([c.lang_number("en", seed)], dtype=np.uint64), 0, seed)
+        assert value[1] == value[2] and len(set(value.tolist())) == 3
+        first = set(value.tolist()) if first is None else first
+        assert seed == 0 or not first & set(value.tolist())
 
 
 def test_tiles_count_like_a_dictionary():

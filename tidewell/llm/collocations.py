@@ -10,8 +10,10 @@ pass and are ranked anew.
 
 What a task needs of the pass before is bounded: the ranked parts, and a bitmap of at most 2 ** ``BITS`` bits of the frequent
 ones. A fuller bitmap lets more pairs through that turn out to be rare, and loses none. A phrase is told apart by its words'
-numbers, all 64 bits of each. Among a hundred million different words any two agree by chance once in some 4,000 corpora;
-where two tasks saw different words under one number, the job fails rather than add them up.
+numbers, all 64 bits of each. Words are counted by number and name, so all counts of words are right where two words share a number; where
+such a number is frequent, and only there can it be part of a phrase, the words are numbered anew by another seed. Of ten billion
+different words some three pairs share a number, and with a hundred million frequent ones among them one corpus in twenty takes
+a second seed; after ``SEEDS`` of them the job fails.
 
 A candidate of two words or more is scored at its weakest cut, in whole numbers of up to 38 digits, and left out if a longer candidate
 that holds it is as frequent. All words are counted, and all places of a phrase, overlaps included.
@@ -43,6 +45,8 @@ HELD = 1 << 19
 BITS = 27
 #: Counts are sent in 2 ** BLOCK_BITS blocks.
 BLOCK_BITS = 12
+#: Numberings of the words to try.
+SEEDS = 4
 
 # Kind of each byte: 0 between words, 2 between pieces, 1 in a word.
 _KIND = np.ones(256, dtype=np.int8)
@@ -53,14 +57,20 @@ _LOWER[65:91] += 32
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
-def lang_number(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 12)
+def lang_number(lang: str, seed: int = 0) -> int:
+    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 12 + seed)
 
 
-def numbers(texts: list[str], langs: np.ndarray, carry: int) -> Iterator[tuple]:
+def byte_order(seed: int) -> np.ndarray:
+    """What each byte counts as in a word's number; words that share a number by one seed do not by another."""
+    plain = np.arange(256, dtype=np.uint8)
+    return np.random.default_rng(seed).permutation(plain) if seed else plain
+
+
+def numbers(texts: list[str], langs: np.ndarray, carry: int, seed: int = 0) -> Iterator[tuple]:
     """Words of the texts in groups: number, piece, row, the words' bytes (data, starts, ends), and how many words were carried. ``langs`` has a
     number for each text. A long text is several groups; numbers and pieces of each begin with the last ``carry`` words of the one before."""
-    held = None
+    held, order = None, byte_order(seed)
     for rows, parts in pieces(texts):
         data, at = joined(parts)
         data = _LOWER[data]
@@ -70,7 +80,7 @@ def numbers(texts: list[str], langs: np.ndarray, carry: int) -> Iterator[tuple]:
         starts, ends = starts[word], ends[word]
         row = np.array(rows, dtype=np.int64)[np.searchsorted(at, starts, side="right") - 1]
         cuts = np.concatenate([[0], np.cumsum(kinds == 2)])
-        value, piece = mixed(hashes(data, starts, ends) ^ langs[row]), cuts[starts]
+        value, piece = mixed(hashes(order[data] if seed else data, starts, ends) ^ langs[row]), cuts[starts]
         before, carried = 0, 0
         if held and held[0] == rows[0]:
             # The piece goes on unless a separator ended the part before.
@@ -82,14 +92,14 @@ def numbers(texts: list[str], langs: np.ndarray, carry: int) -> Iterator[tuple]:
         held = (rows[0], value[keep:], piece[keep:], before + cuts[-1] - 1) if len(rows) == 1 else None
 
 
-def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[list[str], np.ndarray, list[str]]]:
+def _by_lang(batch: pa.RecordBatch, seed: int = 0) -> Iterator[tuple[list[str], np.ndarray, list[str]]]:
     """Some texts at a time, their languages' numbers and names."""
     known: dict[str, int] = {}
     for at in range(0, batch.num_rows, 1024):
         part = batch.slice(at, 1024)
         names = part["lang"].to_pylist()
         for name in set(names) - known.keys():
-            known[name] = lang_number(name)
+            known[name] = lang_number(name, seed)
         yield part["text"].to_pylist(), np.array([known[n] for n in names], dtype=np.uint64), names
 
 
@@ -97,8 +107,8 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
 
 
-def count_words(docs: DataFrame, held: int = HELD) -> DataFrame:
-    """w (the word's number), lang, word and n of every word."""
+def count_words(docs: DataFrame, held: int = HELD, seed: int = 0) -> DataFrame:
+    """w (the word's number), lang, word and n of every word, and what ``summed`` says of its number."""
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, int] = {}
         names: dict[int, tuple[str, bytes]] = {}
@@ -115,8 +125,8 @@ def count_words(docs: DataFrame, held: int = HELD) -> DataFrame:
             return out
 
         for batch in batches:
-            for texts, langs, lang in _by_lang(batch):
-                for value, _, row, (data, starts, ends), _ in numbers(texts, langs, 0):
+            for texts, langs, lang in _by_lang(batch, seed):
+                for value, _, row, (data, starts, ends), _ in numbers(texts, langs, 0, seed):
                     found, first, n = np.unique(value, return_index=True, return_counts=True)
                     for w, i, c in zip(found.tolist(), first.tolist(), n.tolist()):
                         if w in counts:
@@ -132,13 +142,14 @@ def count_words(docs: DataFrame, held: int = HELD) -> DataFrame:
 
 
 def summed(counted: DataFrame) -> DataFrame:
-    """w, lang, word and n of every number; tasks that saw different words under one number fail the job."""
-    name = F.struct("lang", "word")
-    each = counted.groupBy("w").agg(F.sum("n").alias("n"), F.min(name).alias("name"), F.max(name).alias("last"))
-    one = F.when(F.col("name") == F.col("last"), F.col("name")).otherwise(
-        F.raise_error(F.concat(F.lit("two words have one number: "), F.to_json("name"), F.to_json("last")))
+    """w, lang, word and n of every word, and ``shared``: the count of all words with its number where there are several, else 0. Rows
+    are dealt out once, by number."""
+    each = counted.repartition("w").groupBy("w", "lang", "word").agg(F.sum("n").alias("n"))
+    words = each.groupBy("w").agg(F.collect_list(F.struct("lang", "word", "n")).alias("words"))
+    total = F.aggregate("words", F.lit(0).cast("long"), lambda n, word: n + word.n)
+    return words.select("w", F.explode("words").alias("one"), F.when(F.size("words") > 1, total).otherwise(0).alias("shared")).select(
+        "w", "one.*", "shared"
     )
-    return each.select("w", one.alias("name"), "n").select("w", "name.*", "n")
 
 
 class Tiles:
@@ -258,7 +269,7 @@ def _blocks(words: np.ndarray, n: np.ndarray, bits: int) -> Iterator[pa.RecordBa
         })
 
 
-def _pairs(parts: Parts, k: int, ranks: int, tile: int, dense: int, held: int, bits: int):
+def _pairs(parts: Parts, k: int, ranks: int, tile: int, dense: int, held: int, bits: int, seed: int):
     def of_cells(codes: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         a, b = codes // ranks, codes % ranks
         if len(codes):
@@ -274,8 +285,8 @@ def _pairs(parts: Parts, k: int, ranks: int, tile: int, dense: int, held: int, b
             return added_rows(rows, np.r_[coo[1], np.ones(len(rows) - len(coo[1]), dtype=np.int64)])
 
         for batch in batches:
-            for texts, langs, _ in _by_lang(batch):
-                for value, piece, _, _, carried in numbers(texts, langs, k - 1):
+            for texts, langs, _ in _by_lang(batch, seed):
+                for value, piece, _, _, carried in numbers(texts, langs, k - 1, seed):
                     if len(value) < k:
                         continue
                     part = np.lib.stride_tricks.sliding_window_view(value, k - 1)
@@ -339,11 +350,12 @@ def _totals(k: int, min_count: int, held: int):
 
 
 def count_pairs(
-    docs: DataFrame, parts: Parts, k: int, min_count: int, ranks: int, tile: int, dense: int, held: int, bits: int = BLOCK_BITS
+    docs: DataFrame, parts: Parts, k: int, min_count: int, ranks: int, tile: int, dense: int, held: int, bits: int = BLOCK_BITS,
+    seed: int = 0,
 ) -> DataFrame:
     """h, ws (the words' numbers) and n of every phrase of ``k`` words that occurs ``min_count`` times. Tasks send blocks by digest, and a
     phrase is in each at most once a flush, so blocks are even however often a phrase occurs."""
-    counted = _rows(docs).mapInArrow(_pairs(parts, k, ranks, tile, dense, held, bits), "block int, counts binary")
+    counted = _rows(docs).mapInArrow(_pairs(parts, k, ranks, tile, dense, held, bits, seed), "block int, counts binary")
     return counted.repartition("block").sortWithinPartitions("block").mapInArrow(_totals(k, min_count, held), "h long, ws array<long>, n long")
 
 
@@ -375,13 +387,18 @@ def frequent_phrases(
     docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, ranks: int = RANKS, tile: int = TILE, dense: int = DENSE, held: int = HELD,
 ) -> tuple[DataFrame, list[DataFrame]]:
     """The words (w, lang, word, n), all of them, and h, ws and n of the frequent phrases of 1 to ``longest`` words."""
-    words = stored(count_words(docs, held), "phrase-words")
+    for seed in range(SEEDS):
+        words = stored(count_words(docs, held, seed), "phrase-words")
+        if words.where(F.col("shared") >= min_count).isEmpty():
+            break
+    else:
+        raise ValueError(f"frequent words share a number by each of {SEEDS} seeds")
     levels = [words.where(F.col("n") >= min_count).select(F.col("w").alias("h"), F.array("w").alias("ws"), "n")]
     for k in range(2, longest + 1):
         parts = ranked_parts(levels[-1], ranks)
         if not parts.filled.any():
             break
-        levels.append(stored(count_pairs(docs, parts, k, min_count, ranks, tile, dense, held), f"phrases-{k}"))
+        levels.append(stored(count_pairs(docs, parts, k, min_count, ranks, tile, dense, held, seed=seed), f"phrases-{k}"))
     return words, levels
 
 
