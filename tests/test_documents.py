@@ -54,6 +54,16 @@ def test_drift_names_new_and_lacking_fields(spark):
     assert "currency: STRING" in types[1] and "y: BIGINT" in types[1]
 
 
+def test_drift_parses_a_text_once_and_counts_every_copy(spark):
+    rows = [(1, json.dumps({"data": [GOOD]}))] * 3 + [(1, json.dumps({"data": [GOOD | {"x": 1}]})), (1, "{"), (1, None), (2, "{")] + [(None, "{}")] * 2
+    found = schema_drift(spark.createDataFrame(rows, "batch int, value string"), DIVIDENDS, ["batch"])
+    every = ",".join(sorted(DIVIDENDS.record.fieldNames()))
+    assert {tuple(r) for r in found.collect()} == {
+        (1, 6, 2, "x", "declaration_date,distr_freq,payment_date,record_date"), (2, 1, 1, "", every), (None, 2, 2, "", every),
+    }
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
 def test_paths_tell_their_request(spark):
     paths = ["s3a://b/bronze/batch_date=20240105/batch_key=dividends_20240101_20240105_20240105/part-0.json",
              "file:/x/batch_key=stock_splits_20240101_20249999_20240105/p.json", "file:/x/y.json", None]

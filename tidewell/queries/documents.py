@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import batch_stem, week_monday
 from tidewell.operators import routing
-from tidewell.queries.inputs import FIELDS, RAW, envelopes, raw_records
+from tidewell.queries.inputs import FIELDS, RAW, as_documents, envelopes, raw_records
 from tidewell.registry import DIVIDENDS, SPLITS
 from tidewell.schemas import CORRUPT
 from tidewell.scratch import scratch_dir
@@ -33,7 +33,7 @@ def drift(spark, sf_dir):
     # A whole year's first weeks also come without frequencies.
     frequency = F.when(F.weekofyear("batch_dt") > 2, F.col("distr_freq")).alias("distr_freq")
     fields = [frequency if c == "distr_freq" else F.col(c) for c in FIELDS]
-    documents = raw_records(spark, sf_dir).groupBy("batch_dt", "l_orderkey").agg(F.collect_list(F.struct(*fields, currency)).alias("data"))
+    documents = as_documents(raw_records(spark, sf_dir), [*fields, currency])
     texts = documents.withColumn("value", F.to_json(F.struct("data"))).withColumn("value", _cut(F.col("value")))
     return schema_drift(texts, DIVIDENDS, ["batch_dt"])
 

@@ -1,6 +1,8 @@
 """Inputs derived from the given tables (FIXTURES.md), as DataFrames and as SQL."""
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.scratch import stored
@@ -13,20 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records from lineitem with missing fields, malformed dates and times of day, their batch date (a Friday)
     and l_orderkey."""
-    ship, line = F.col("l_shipdate"), F.col("l_linenumber")
-    day = F.date_format(ship, "yyyy-MM-dd")
+    ship, line = F.col("l_shipdate").cast("date"), F.col("l_linenumber")
+    text = lambda day: day.cast("string")
     return table(spark, sf_dir, "lineitem").select(
-        F.date_add(F.date_trunc("week", ship).cast("date"), 4).alias("batch_dt"),
+        F.date_add(F.trunc(ship, "week"), 4).alias("batch_dt"),
         "l_orderkey",
         F.when(line != 7, F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 4, "0"))).alias("symbol"),
-        F.when(line == 6, "not-a-date").when(line != 5, F.concat(day, F.lit("T00:00:00+0000"))).alias("date"),
+        F.when(line == 6, "not-a-date").when(line != 5, F.concat(text(ship), F.lit("T00:00:00+0000"))).alias("date"),
         F.when(F.col("l_discount") != 0, F.col("l_discount")).alias("dividend"),
         F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("distr_freq"),
-        F.date_format(F.date_add(ship.cast("date"), 14), "yyyy-MM-dd").alias("payment_date"),
-        F.when(F.col("l_linestatus") != "O", F.date_format(F.date_add(ship.cast("date"), 1), "yyyy-MM-dd 00:00:00"))
-        .alias("record_date"),
-        F.when(line == 4, "n/a").otherwise(F.date_format(F.date_sub(ship.cast("date"), 30), "yyyy-MM-dd"))
-        .alias("declaration_date"),
+        text(F.date_add(ship, 14)).alias("payment_date"),
+        F.when(F.col("l_linestatus") != "O", F.concat(text(F.date_add(ship, 1)), F.lit(" 00:00:00"))).alias("record_date"),
+        F.when(line == 4, "n/a").otherwise(text(F.date_sub(ship, 30))).alias("declaration_date"),
     )
 
 
@@ -60,11 +60,15 @@ CLEAN = PREPARED + f""", clean as (
     {as_day('record_dt')} as record_dt, {as_day('declar_dt')} as declar_dt from prepared)"""
 
 
+def as_documents(records: DataFrame, fields: Sequence[str | Column] = FIELDS) -> DataFrame:
+    """One document per order and batch: a document holds an order's lines, not a batch's. Records meet before they are
+    listed: lists of a line or two, made before the shuffle, would only be sorted and carried for nothing."""
+    key = ["batch_dt", "l_orderkey"]
+    return records.repartition(*key).groupBy(*key).agg(F.collect_list(F.struct(*fields)).alias("data"))
+
+
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per order and batch: a document holds an order's lines, not a batch's."""
-    return raw_records(spark, sf_dir).groupBy("batch_dt", "l_orderkey").agg(
-        F.collect_list(F.struct(*FIELDS)).alias("data")
-    )
+    return as_documents(raw_records(spark, sf_dir))
 
 
 def merge_sides(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -31,20 +31,24 @@ def raw_fields(text: Column, field: str) -> Column:
 
 def schema_drift(rows: DataFrame, cat: Category, by: Sequence[str], text: str = "value") -> DataFrame:
     """Per group of ``by``: its documents, those that do not decode, the fields its records have and the schema lacks (``added``), and
-    those of the schema that no record has (``absent``), both sorted and comma-joined. Only distinct names are gathered."""
+    those of the schema that no record has (``absent``), both sorted and comma-joined. A text is parsed once; documents of a group
+    with the same fields are counted before anything else, so only distinct names are gathered."""
     known = F.array(*map(F.lit, cat.record.fieldNames()))
-    records = raw_fields(F.col(text), cat.envelope_field)
-    names = F.array_distinct(F.flatten(F.transform(records, lambda r: F.map_keys(r))))
-    each = rows.select(*by, records.isNull().alias("_bad"), names.alias("_names"))
-    counts = each.groupBy(*by).agg(F.count("*").alias("documents"), F.count_if("_bad").alias("undecoded"))
-    seen = each.select(*by, F.explode("_names").alias("_name")).groupBy(*by).agg(F.collect_set("_name").alias("_seen"))
-    key = {c: f"_{c}" for c in by}
-    seen = seen.withColumnsRenamed(key)
-    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in key.items()]
-    held = F.coalesce("_seen", F.array().cast("array<string>"))
+    parsed = rows.select(*by, raw_fields(F.col(text), cat.envelope_field).alias("_records"))
+    names = F.sort_array(F.array_distinct(F.flatten(F.transform("_records", lambda r: F.map_keys(r)))))
+    alike = parsed.select(*by, F.col("_records").isNull().alias("_bad"), names.alias("_names"))
+    alike = alike.groupBy(*by, "_bad", "_names").agg(F.count("*").alias("_n"))
+    # Outer, as a filter on the names would be pushed below the count and parse every text again.
+    each = alike.select(*by, "_bad", "_n", F.posexplode_outer("_names").alias("_pos", "_name"))
+    first = F.coalesce("_pos", F.lit(0)) == 0
+    total = lambda which: F.coalesce(F.sum(F.when(which, F.col("_n"))), F.lit(0).cast("long"))
+    seen = each.groupBy(*by).agg(
+        total(first).alias("documents"), total(first & F.col("_bad")).alias("undecoded"), F.collect_set("_name").alias("_seen")
+    )
     listed = lambda names: F.array_join(F.array_sort(names), ",")
-    return counts.join(seen, same, "left").select(
-        *by, "documents", "undecoded", listed(F.array_except(held, known)).alias("added"), listed(F.array_except(known, held)).alias("absent"),
+    return seen.select(
+        *by, "documents", "undecoded", listed(F.array_except("_seen", known)).alias("added"),
+        listed(F.array_except(known, "_seen")).alias("absent"),
     )
 
 
