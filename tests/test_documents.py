@@ -83,6 +83,16 @@ def test_landed_batches_come_back_with_their_requests(spark, texts, tmp_path):
     assert all((r.batch_dt - r.start_dt).days == 4 and r.end_dt == r.batch_dt and r.batch_key in r.file_path for r in found)
 
 
+def test_paths_are_searched_once_a_row_for_all_parts(spark, texts, tmp_path):
+    documents = decode_documents(texts, DIVIDENDS).where("size(data) > 0").drop("id").withColumn("batch_dt", F.lit("2024-01-05").cast("date"))
+    root = land_batches(documents, str(tmp_path / "bronze"), F.lit("a_b_20240101_20240230_20240105"))
+    found = read_with_lineage(spark, root, DIVIDENDS)
+    assert {(r.data_cat, r.start_dt, r.end_dt, r.batch_dt, r.batch_key) for r in found.collect()} == {
+        ("a_b", date(2024, 1, 1), None, date(2024, 1, 5), "a_b_20240101_20240230_20240105")
+    }
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 2
+
+
 def test_fan_out_reads_once_and_loses_nothing(spark, tmp_path):
     split = json.dumps({"data": [{"symbol": "S", "date": "2024-01-02", "from": 1.0, "to": 4.0}, {"symbol": None}]})
     rows = [("dividends", TEXTS[0]), ("dividends", TEXTS[5]), ("splits", split), ("earnings", "{}"), (None, None)]
